@@ -23,10 +23,10 @@ EDGE = ".,;:!?»«›‹()[]{}\"'„“”‚‘’–—-…/|*_#<>=†·"
 _FLUSH = 300_000
 
 
-def document_frequencies(df: DataFrame, text: str = "text") -> DataFrame:
+def document_frequencies(df: DataFrame, text: str = "text", lower: bool = False) -> DataFrame:
     """``word``, ``df``: in how many rows of ``df`` a word (lower case, letters only) stands.
 
-    The row of the empty word counts the documents with text. Words are counted per task before they
+    With ``lower``, only words written in lower case count. The row of the empty word counts the documents with text. Words are counted per task before they
     are shuffled, in a dictionary that is handed on whenever it reaches 300,000 entries.
     """
 
@@ -37,8 +37,9 @@ def document_frequencies(df: DataFrame, text: str = "text") -> DataFrame:
         def out():
             words: Counter[str] = Counter()
             for token, n in counts.items():
-                word = token.strip(EDGE).lower()
-                if word.isalpha():
+                word = token.strip(EDGE)
+                if word.isalpha() and not (lower and not word.islower()):
+                    word = word.lower()
                     words[word] += n
             counts.clear()
             return pa.RecordBatch.from_pydict({"word": pa.array(list(words), pa.string()), "df": pa.array(list(words.values()), pa.int64())})
@@ -69,9 +70,9 @@ class Lexicon:
         return self.words.get(word, 0)
 
 
-def lexicon(df: DataFrame, text: str = "text", share: float = SHARE, least: int = LEAST) -> Broadcast:
+def lexicon(df: DataFrame, text: str = "text", share: float = SHARE, least: int = LEAST, lower: bool = False) -> Broadcast:
     """Broadcast :class:`Lexicon` of ``df``; its size is bounded as the module explains."""
-    counted = document_frequencies(df, text).persist()
+    counted = document_frequencies(df, text, lower).persist()
     try:
         docs = sum(r["df"] for r in counted.where(F.col("word") == "").collect())
         rows = counted.where((F.col("df") >= max(least, share * docs)) & (F.col("word") != "")).toArrow()
