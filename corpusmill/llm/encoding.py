@@ -17,7 +17,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .base import Memo, canonical_source, map_batches
+from .base import Memo, canonical_source, checkpointed, map_batches
 from .lexicon import EDGE, Lexicon, lexicon
 
 #: What a unit may stand for: letters and signs of undamaged text beyond ASCII (fixed values).
@@ -275,7 +275,8 @@ def restored(df: DataFrame, key: str = "row_id", text: str = "text", source: str
     never shuffled; tables sent to workers are bounded by SHARE and UNIT_SHARE.
     """
     vocabulary: Broadcast = lexicon(df, text)
-    counted = _contexts(df, text, source)
+    # Written once: both the units and their totals are taken from it.
+    counted = checkpointed(_contexts(df, text, source))
     every = counted.groupBy("source", "unit").agg(F.sum("n").alias("_u"))
     rows = [tuple(r) for r in counted.join(_frequent(every), ["source", "unit"]).select("source", "unit", "left", "right", "n").collect()]
     tables = df.sparkSession.sparkContext.broadcast(learn(rows))
