@@ -30,20 +30,21 @@ _NAME = rf"[{_UP}][{_LOW}]+"
 _SURNAME = rf"{_NAME}(?:-{_NAME})?"
 _AT = r"(?:\s*[(\[{]\s*(?:at|afna|pri)\s*[)\]}]\s*|\s+(?:at|afna)\s+)"
 _DOT = r"(?:\s*[(\[{]\s*(?:dot|pika)\s*[)\]}]\s*|\s+(?:dot|pika)\s+|\.)"
+# Each pattern begins with a set of characters, which the engine looks for fast, and looks back from there.
 GENERATORS = {
     "email": [re.compile(r"[A-Za-z0-9][\w.+%-]*@[A-Za-z0-9][A-Za-z0-9-]*(?:\.[A-Za-z0-9-]+)+"), re.compile(rf"[A-Za-z0-9][\w.+%-]*{_AT}[A-Za-z0-9][A-Za-z0-9-]*(?:{_DOT}[A-Za-z0-9-]+)+", re.I)],
-    "phone": [re.compile(r"(?<![\w+.-])(?<!\d/)(?:\+|00)?\(?\d[\d ()./\xa0-]{5,18}\d(?![\w-]|[./]\d)")],
-    "id_number": [re.compile(r"(?<![\w-])(?<!\d/)\d{7}[ -]?\d{2}[ -]?\d{4}(?![\w-]|/\d)"), re.compile(r"(?<![\w-])(?<!\d/)(?:SI ?)?\d{8}(?![\w-]|/\d)"), re.compile(r"(?<![\w-])(?<!\d/)[A-Z]{1,3} ?\d{6,9}(?![\w-]|/\d)")],
-    "address": [
-        re.compile(rf"(?<![\w-])[{_UP}][\w.]*(?: [\w.]+){{0,4}} \d{{1,3}}(?:/\d{{1,3}}| ?[A-Za-z](?!\w))?(?:,?\s+(?:[A-Z]{{1,2}}-)?\d{{4}} [{_UP}][\w]+(?: [{_UP}]\w+)?)?(?!\w)"),
-    ],
+    "phone": [re.compile(r"[+(\d](?<![\w+.-].)(?<!\d/.)[\d ()./\xa0-]{6,19}\d(?![\w-]|[./]\d)", re.S)],
+    "id_number": [re.compile(r"\d(?<![\w-].)(?<!\d/.)(?:\d{6}[ -]?\d{2}[ -]?\d{4}|\d{7})(?![\w-]|/\d)", re.S), re.compile(r"[A-Z](?<![\w-].)[A-Z]{0,2} ?\d{6,9}(?![\w-]|/\d)", re.S)],
     "name": [
-        re.compile(rf"(?<![\w.@°-]){_NAME}[ \n]{_SURNAME}(?![\w@])"),
-        re.compile(rf"(?<![\w.@°-])[{_UP}]\.[ \n]?{_SURNAME}(?![\w@])"),
-        re.compile(rf"(?<![\w.@°-])[{_UP}]{{3,}}(?:-[{_UP}]{{3,}})?[ \n]{_NAME}(?![\w@])"),
-        re.compile(rf"(?<![\w.@°-]){_SURNAME},[ \n]{_NAME}(?![\w@])"),
+        re.compile(rf"[{_UP}](?<![\w.@°-].)(?:[{_LOW}]+[ \n]{_SURNAME}|\.[ \n]?{_SURNAME})(?![\w@])", re.S),
+        re.compile(rf"[{_UP}](?<![\w.@°-].)[{_UP}]{{2,}}(?:-[{_UP}]{{3,}})?[ \n]{_NAME}(?![\w@])", re.S),
+        re.compile(rf"[{_UP}](?<![\w.@°-].)[{_LOW}]+(?:-{_NAME})?,[ \n]{_NAME}(?![\w@])", re.S),
     ],
 }
+#: House number with what may follow it; the street is looked for before it.
+_HOUSE = re.compile(rf"\d(?<= .)\d{{0,2}}(?:/\d{{1,3}}| ?[A-Za-z](?!\w))?(?:,?\s+(?:[A-Z]{{1,2}}-)?\d{{4}} [{_UP}]\w+(?: [{_UP}]\w+)?)?(?!\w)")
+_STREET_WORD = re.compile(r"[\w.]+\Z")
+_DISGUISED = re.compile(r"[(\[{]\s*(?:at|afna|pri)\s*[)\]}]|\s(?:at|afna)\s", re.I)
 _TRIGGER = re.compile(rf"[@(\[{{]\s?(?:at|afna)|@|\d|[{_UP}][{_LOW}]*[.,]?[ \n][{_UP}]")
 
 #: Words that stand before (or after) each kind, and before numbers that aren't personal (fixed values).
@@ -76,13 +77,26 @@ def candidates(text: str) -> list[tuple[str, int, int]]:
         return []
     out = set()
     for kind, patterns in GENERATORS.items():
-        if kind == "email" and "@" not in text and not re.search("at|afna", text, re.I):
-            continue
         for pattern in patterns:
+            if kind == "email" and not ("@" in text if pattern is patterns[0] else _DISGUISED.search(text)):
+                continue
             at = 0
             while m := pattern.search(text, at):
                 out.add((kind, *m.span()))
-                at = max(m.start() + 1, m.end() if kind in ("email", "phone", "id_number") else text.find(" ", m.start()) + 1 or m.end())
+                at = m.end() if kind != "name" else m.start() + 1
+    for m in _HOUSE.finditer(text):
+        # Up to five words before the number, each of which may begin the street's name.
+        start = m.start() - 1
+        for _ in range(5):
+            word = _STREET_WORD.search(text, max(0, start - 40), start)
+            if not word:
+                break
+            start = word.start()
+            if text[start].isupper():
+                out.add(("address", start, m.end()))
+            if start == 0 or text[start - 1] != " ":
+                break
+            start -= 1
     return sorted(out, key=lambda s: (s[1], s[2], s[0]))
 
 
@@ -313,9 +327,12 @@ class Redactor:
         self.trees, self.thresholds, self.shares = trees, thresholds, shares
         #: Given names and surnames of persons who aren't private, by the surname's first letters.
         self.public = [tuple(n.lower().split(" ", 1)) for n in public if n and " " in n.strip()]
+        self.starts = {sur[:2] for _, sur in self.public}
 
     def is_public(self, span: str) -> bool:
         words = [w.lower() for w in re.findall(r"[^\W\d_]+", span)]
+        if not any(w[:2] in self.starts for w in words):
+            return False
         for given, sur in self.public:
             stem = sur[: max(4, len(sur) - 2)]
             for w in words:
