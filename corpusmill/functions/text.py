@@ -21,6 +21,11 @@ def _c(x: str | Column) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
+def let(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` computed once: inside a lambda an outer expression would be computed per element."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def words(text: str | Column) -> Column:
     """Array of the white-space separated words (P1); null text is null, blank text the empty array."""
     return F.regexp_extract_all(_c(text), F.lit(f"[^{SPACE}]+"), F.lit(0))
@@ -53,9 +58,12 @@ def lines(text: str | Column) -> Column:
 
 def shingles(text: str | Column, size: int = P.SHINGLE) -> Column:
     """Set of word ``size``-grams as an array (P3); a shorter text is one shingle, no words none."""
-    w = tokens(text)
-    grams = F.transform(F.sequence(F.lit(0), F.size(w) - size), lambda i: F.array_join(F.slice(w, i + 1, size), " "))
-    return F.array_distinct(F.when(F.size(w) >= size, grams).when(F.size(w) > 0, F.array(F.array_join(w, " "))).otherwise(F.array().cast("array<string>")))
+
+    def grams(w):
+        many = F.transform(F.sequence(F.lit(1), F.size(w) - (size - 1)), lambda i: F.array_join(F.slice(w, i, size), " "))
+        return F.array_distinct(F.when(F.size(w) >= size, many).when(F.size(w) > 0, F.array(F.array_join(w, " "))).otherwise(F.array().cast("array<string>")))
+
+    return let(tokens(text), grams)
 
 
 def shingle_hashes(text: str | Column, size: int = P.SHINGLE) -> Column:
@@ -83,12 +91,15 @@ def year_count(text: str | Column) -> Column:
 
 def index_like(text: str | Column) -> Column:
     """Whether a text is a list of titles or a table of contents."""
-    ls = lines(text)
-    n = F.size(ls)
-    titles = F.size(F.filter(ls, lambda x: (F.length(x) < P.TITLE_LENGTH) & ~x.rlike(r"""[.!?«“"]$""") & ~x.rlike(r"[,;:!?.]")))
-    numbered = F.size(F.filter(ls, lambda x: x.rlike(r"\p{Nd}")))
-    share, digits = titles / n, numbered / n
-    return (n >= P.INDEX_LINES) & ((share > P.INDEX_TITLES) | (digits > P.INDEX_DIGITS) & (share > P.INDEX_TITLE_FLOOR))
+
+    def judge(ls):
+        n = F.size(ls)
+        titles = F.size(F.filter(ls, lambda x: (F.length(x) < P.TITLE_LENGTH) & ~x.rlike(r"""[.!?«“"]$""") & ~x.rlike(r"[,;:!?.]")))
+        numbered = F.size(F.filter(ls, lambda x: x.rlike(r"\p{Nd}")))
+        share, digits = titles / n, numbered / n
+        return (n >= P.INDEX_LINES) & ((share > P.INDEX_TITLES) | (digits > P.INDEX_DIGITS) & (share > P.INDEX_TITLE_FLOOR))
+
+    return let(lines(text), judge)
 
 
 def verdict(text: str | Column) -> Column:
@@ -108,24 +119,26 @@ def type_counts(text: str | Column, window: int = P.MATTR_WINDOW) -> Column:
 
     A text within one window has one count, of all its words; an empty one has none.
     """
-    w = F.transform(words(text), folded)
-    n = F.size(w)
-    starts = F.sequence(F.lit(0), n - window, F.lit(max(1, window // 5)))
-    many = F.transform(starts, lambda i: F.size(F.array_distinct(F.slice(w, i + 1, window))))
-    return F.when(n > window, many).when(n > 0, F.array(F.size(F.array_distinct(w)))).otherwise(F.array().cast("array<int>"))
+
+    def count(w):
+        n = F.size(w)
+        starts = F.sequence(F.lit(0), n - window, F.lit(max(1, window // 5)))
+        many = F.transform(starts, lambda i: F.size(F.array_distinct(F.slice(w, i + 1, window))))
+        return F.when(n > window, many).when(n > 0, F.array(F.size(F.array_distinct(w)))).otherwise(F.array().cast("array<int>"))
+
+    return let(F.transform(words(text), folded), count)
 
 
 def mattr(text: str | Column, window: int = P.MATTR_WINDOW) -> Column:
     """Moving-average type-token ratio; 0 for texts without words."""
-    counts = type_counts(text, window)
-    total = F.aggregate(counts, F.lit(0).cast("bigint"), lambda a, x: a + x)
-    return F.when(F.size(counts) == 0, 0.0).otherwise(total / (F.size(counts) * F.least(F.lit(window), n_words(text))))
+    total = lambda counts: F.aggregate(counts, F.lit(0).cast("bigint"), lambda a, x: a + x)
+    mean = lambda counts: F.when(F.size(counts) == 0, 0.0).otherwise(total(counts) / (F.size(counts) * F.least(F.lit(window), n_words(text))))
+    return let(type_counts(text, window), mean)
 
 
 def repeated_lines(text: str | Column) -> Column:
     """How many non-blank lines repeat an earlier one; 0 for fewer than two."""
-    ls = lines(text)
-    return F.when(F.size(ls) < 2, 0).otherwise(F.size(ls) - F.size(F.array_distinct(ls)))
+    return let(lines(text), lambda ls: F.when(F.size(ls) < 2, 0).otherwise(F.size(ls) - F.size(F.array_distinct(ls))))
 
 
 def unknown_chars(text: str | Column) -> Column:

@@ -109,18 +109,15 @@ def scan_drop(line: Column, at: Column, floor: float = P.LINE_FLOOR) -> Column:
 
 def scan_clean(text: Column) -> Column:
     """Struct of the cleaned text and the metrics of P28."""
-    ls = scan_lines(text)
-    kept = F.filter(ls, lambda x, i: ~scan_drop(x, i))
-    clean = T.strip(F.regexp_replace(F.array_join(kept, "\n"), r"\n{3,}", "\n\n"))
-    letters = F.length(F.regexp_replace(clean, rf"[^\p{{L}}{T.SPACE}]", ""))
-    return F.struct(
-        clean.alias("text"),
-        F.length(clean).alias("n_chars"),
-        letters.alias("n_letters"),
-        (F.size(ls) - F.size(kept)).alias("dropped_lines"),
-        F.size(F.filter(kept, lambda x: x != "")).alias("kept_lines"),
-        F.length(F.regexp_replace(F.substring(clean, 1, 1000), r"[^<>^=~|%&$#]", "")).alias("early_noise"),
-    )
+
+    def measure(clean, ls, kept):
+        return F.struct(
+            clean.alias("text"), F.length(clean).alias("n_chars"), F.length(F.regexp_replace(clean, rf"[^\p{{L}}{T.SPACE}]", "")).alias("n_letters"), (F.size(ls) - F.size(kept)).alias("dropped_lines"),
+            F.size(F.filter(kept, lambda x: x != "")).alias("kept_lines"), F.length(F.regexp_replace(F.substring(clean, 1, 1000), r"[^<>^=~|%&$#]", "")).alias("early_noise"),
+        )
+
+    joined = lambda kept: T.strip(F.regexp_replace(F.array_join(kept, "\n"), r"\n{3,}", "\n\n"))
+    return T.let(scan_lines(text), lambda ls: T.let(F.filter(ls, lambda x, i: ~scan_drop(x, i)), lambda kept: T.let(joined(kept), lambda clean: measure(clean, ls, kept))))
 
 
 def scan_gate(clean: Column) -> Column:

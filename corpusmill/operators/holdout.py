@@ -70,10 +70,14 @@ def windows(ids: str | Column, length: int, start: int, ignore: int = -1) -> Col
 
     The last window is padded, ``x`` with 0 and ``y`` with ``ignore``.
     """
-    seq = F.concat(F.array(F.lit(start)), F.col(ids) if isinstance(ids, str) else ids)
-    last = F.size(seq) - 2
-    cut = lambda i, shift, pad: F.concat(F.slice(seq, i + 1 + shift, length), F.array_repeat(F.lit(pad), F.greatest(F.lit(0), length - F.size(F.slice(seq, i + 1 + shift, length)))))
-    return F.when(last < 0, F.array().cast("array<struct<x:array<int>,y:array<int>>>")).otherwise(F.transform(F.sequence(F.lit(0), last, F.lit(length)), lambda i: F.struct(cut(i, 0, 0).alias("x"), cut(i, 1, ignore).alias("y"))))
+
+    def tile(seq):
+        last = F.size(seq) - 2
+        part = lambda i, shift: F.slice(seq, i + 1 + shift, length)
+        cut = lambda i, shift, pad: F.concat(part(i, shift), F.array_repeat(F.lit(pad), F.greatest(F.lit(0), length - F.size(part(i, shift)))))
+        return F.when(last < 0, F.array().cast("array<struct<x:array<int>,y:array<int>>>")).otherwise(F.transform(F.sequence(F.lit(0), last, F.lit(length)), lambda i: F.struct(cut(i, 0, 0).alias("x"), cut(i, 1, ignore).alias("y"))))
+
+    return T.let(F.concat(F.array(F.lit(start)), F.col(ids) if isinstance(ids, str) else ids), tile)
 
 
 def bits_per_byte(rows: DataFrame, loss: str, n_bytes: str) -> DataFrame:

@@ -11,7 +11,7 @@ from ..functions import text as T
 def title_index(works: DataFrame) -> DataFrame:
     """``author``, ``norm``, ``work_id``: titles before aliases, of equals the least id."""
     titles = works.select("author", T.normalized_title("title").alias("norm"), "work_id", F.lit(0).alias("rank"))
-    aliases = works.select("author", T.normalized_title(F.explode("aliases")).alias("norm"), "work_id", F.lit(1).alias("rank"))
+    aliases = works.select("author", "work_id", F.explode("aliases").alias("a")).select("author", T.normalized_title("a").alias("norm"), "work_id", F.lit(1).alias("rank"))
     both = titles.unionByName(aliases).where("norm <> '' and author is not null")
     return both.groupBy("author", "norm").agg(F.min_by("work_id", F.struct("rank", "work_id")).alias("work_id"))
 

@@ -48,20 +48,20 @@ SP = T.SPACE
 WORDS = f"regexp_extract_all(coalesce(text, ''), {_n(f'[^{SP}]+')})"
 FOLD = lambda x: f"replace(lower({x}), 'ß', 'ss')"
 STRIP = lambda x: f"regexp_replace({x}, " + _n(f"^[{SP}]+|[{SP}]+$") + ", '', 'g')"
-LINES = f"list_filter(list_transform(regexp_split_to_array(coalesce(text, ''), " + _n(r"\r\n|[\n\x0B\f\r\x{1C}-\x{1E}\x{85}\x{2028}\x{2029}]") + f"), x -> {STRIP('x')}), x -> x <> '')"
+LINES = f"list_filter(list_transform(regexp_split_to_array(coalesce(text, ''), " + _n(r"\r\n|[\n\x0B\f\r\x{1C}-\x{1E}\x{85}\x{2028}\x{2029}]") + f"), lambda x: {STRIP('x')}), lambda x: x <> '')"
 TOKENS = f"regexp_extract_all({FOLD('coalesce(text, chr(32))')}, {_n(f'[{T.WORD}]+')})"
-SHINGLES = f"(SELECT row_id, CASE WHEN len(w) >= 5 THEN list_distinct(list_transform(range(1, len(w) - 3), i -> array_to_string(w[i:i+4], ' '))) WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END AS s FROM (SELECT row_id, {TOKENS} AS w FROM corpus_doc))"
+SHINGLES = f"(SELECT row_id, CASE WHEN len(w) >= 5 THEN list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i+4], ' '))) WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END AS s FROM (SELECT row_id, {TOKENS} AS w FROM corpus_doc))"
 NORM = lambda c: STRIP(f"regexp_replace(regexp_replace({FOLD(c)}, {_n(f'[^{T.WORD}{SP}]')}, ' ', 'g'), {_n(f'[{SP}]+')}, ' ', 'g')")
 TIER = "CASE WHEN shard = 'wikipedia' THEN 3 WHEN shard LIKE 'dlib-%-gapfill' THEN 2 WHEN shard LIKE 'dlib-%' THEN 1 ELSE 0 END"
 LEX = "[" + ", ".join(f"'{w}'" for w in dict.fromkeys(P.FUNCTION_WORDS.split())) + "]"
 _PUNCT = _n(f"^[{T.STRIPPED}]+|[{T.STRIPPED}]+$")
 GATE = f"""(SELECT row_id, shard, author, len(w) AS n_words,
-    len(list_filter(w, x -> list_contains({LEX}, {FOLD(f"regexp_replace(x, {_PUNCT}, '', 'g')")}))) AS n_function_words,
-    len(list_filter(regexp_extract_all(text, '[\\p{{L}}\\p{{N}}_]+'), x -> regexp_full_match(x, '1[5-9][0-9][0-9]|20[0-9][0-9]'))) AS n_years,
+    len(list_filter(w, lambda x: list_contains({LEX}, {FOLD(f"regexp_replace(x, {_PUNCT}, '', 'g')")}))) AS n_function_words,
+    len(list_filter(regexp_extract_all(text, '[\\p{{L}}\\p{{N}}_]+'), lambda x: regexp_full_match(x, '1[5-9][0-9][0-9]|20[0-9][0-9]'))) AS n_years,
     len(l) >= 10 AND (len(t) / len(l) > 0.65 OR (len(d) / len(l) > 0.10 AND len(t) / len(l) > 0.30)) AS index_like
   FROM (SELECT row_id, shard, author, text, w, l,
-          list_filter(l, x -> length(x) < 60 AND NOT regexp_matches(x, '[.!?«“"]$') AND NOT regexp_matches(x, '[,;:!?.]')) AS t,
-          list_filter(l, x -> regexp_matches(x, '\\p{{Nd}}')) AS d
+          list_filter(l, lambda x: length(x) < 60 AND NOT regexp_matches(x, '[.!?«“"]$') AND NOT regexp_matches(x, '[,;:!?.]')) AS t,
+          list_filter(l, lambda x: regexp_matches(x, '\\p{{Nd}}')) AS d
         FROM (SELECT row_id, shard, author, coalesce(text, '') AS text, {WORDS} AS w, {LINES} AS l FROM corpus_doc)))"""
 VERDICT = "CASE WHEN n_words = 0 THEN 'empty' WHEN n_function_words / n_words < 0.05 THEN 'not_slovene' WHEN n_years / n_words > 0.05 THEN 'bibliography' WHEN index_like THEN 'index_list' ELSE 'kept' END"
 
@@ -89,9 +89,9 @@ def word_count_medians(spark, sf):
 
 
 @query(f"""
-WITH d AS (SELECT coalesce(shard, '') AS shard, list_transform({WORDS}, x -> {FOLD('x')}) AS w, {LINES} AS l FROM corpus_doc),
+WITH d AS (SELECT coalesce(shard, '') AS shard, list_transform({WORDS}, lambda x: {FOLD('x')}) AS w, {LINES} AS l FROM corpus_doc),
 m AS (SELECT shard, len(w) AS n, CASE WHEN len(w) = 0 THEN 0.0::DOUBLE WHEN len(w) <= 500 THEN len(list_distinct(w)) / len(w)
-        ELSE list_sum(list_transform(range(0, len(w) - 499, 100), i -> len(list_distinct(w[i+1:i+500])))) / (len(range(0, len(w) - 499, 100)) * 500) END AS mattr,
+        ELSE list_sum(list_transform(range(0, len(w) - 499, 100), lambda i: len(list_distinct(w[i+1:i+500])))) / (len(range(0, len(w) - 499, 100)) * 500) END AS mattr,
       CASE WHEN len(l) < 2 THEN 0.0::DOUBLE ELSE (len(l) - len(list_distinct(l))) / len(l) END AS rep FROM d)
 SELECT shard, count(*) AS n_docs, CAST(sum(n) AS BIGINT) AS n_words, CAST(floor(sum(mattr * n) / nullif(sum(n), 0) * 1e6 + 0.5) AS BIGINT) AS mattr_millionths,
   CAST(floor(sum(rep * n) / nullif(sum(n), 0) * 1e6 + 0.5) AS BIGINT) AS repeated_line_millionths FROM m GROUP BY shard""")
@@ -138,7 +138,7 @@ UNITS = f"regexp_extract_all(coalesce(text, ''), {_n(rf'\p{{L}}+|\p{{N}}{{1,2}}|
 
 
 @query(f"""SELECT slice, count(*) AS n_docs, CAST(sum(w) AS BIGINT) AS n_words, CAST(sum(b) AS BIGINT) AS n_bytes, CAST(sum(len(u)) AS BIGINT) AS n_units,
-  CAST(sum(len(list_filter(u, x -> regexp_full_match(x, '[0-9]+')))) AS BIGINT) AS n_digit_units, count(*) FILTER (WHERE soft) AS n_soft_hyphen, count(*) FILTER (WHERE tab) AS n_tab
+  CAST(sum(len(list_filter(u, lambda x: regexp_full_match(x, '[0-9]+')))) AS BIGINT) AS n_digit_units, count(*) FILTER (WHERE soft) AS n_soft_hyphen, count(*) FILTER (WHERE tab) AS n_tab
 FROM (SELECT CASE WHEN author = '{MAIN_AUTHOR}' THEN 'main_author' WHEN source = 'wikipedia' THEN 'wikipedia' ELSE 'literary' END AS slice, len({WORDS}) AS w, octet_length(encode(coalesce(text, ''))) AS b,
   {UNITS} AS u, contains(text, chr(173)) AS soft, contains(text, chr(9)) AS tab FROM corpus_doc) GROUP BY slice""")
 def slice_stats(spark, sf):
@@ -216,7 +216,7 @@ def registry_problems(spark, sf):
 
 
 @query("""SELECT work_id, title, coalesce(year, 1900) AS year, coalesce(genre, 'neznano') AS genre, list_sort(list_distinct(list_concat(flags, ['pregledano']))) AS flags, len(sources) AS n_sources,
-len(list_filter(sources, s -> s.status = 'ingested')) AS n_ingested FROM work_registry""")
+len(list_filter(sources, lambda s: s.status = 'ingested')) AS n_ingested FROM work_registry""")
 def registry_upsert(spark, sf):
     w = _table(spark, sf, "work_registry")
     new = w.select("work_id", "title", "author", F.lit(1900).alias("year"), F.lit("neznano").alias("genre"), F.array(F.lit("pregledano")).alias("flags"), F.array("title").alias("aliases"), F.transform("sources", lambda s: s.withField("status", F.lit("candidate"))).alias("sources"), "notes")
@@ -224,7 +224,7 @@ def registry_upsert(spark, sf):
     return done.select("work_id", "title", "year", "genre", "flags", F.size("sources").cast("bigint").alias("n_sources"), F.size(F.filter("sources", lambda s: s["status"] == "ingested")).cast("bigint").alias("n_ingested"))
 
 
-@query("SELECT work_id, len(sources) AS n_sources, len(list_filter(sources, s -> s.status = 'ingested')) AS n_ingested, array_to_string(list_sort(list_distinct(list_transform(list_filter(sources, s -> s.status = 'ingested'), s -> s.source))), '+') AS ingested_from FROM work_registry")
+@query("SELECT work_id, len(sources) AS n_sources, len(list_filter(sources, lambda s: s.status = 'ingested')) AS n_ingested, array_to_string(list_sort(list_distinct(list_transform(list_filter(sources, lambda s: s.status = 'ingested'), lambda s: s.source))), '+') AS ingested_from FROM work_registry")
 def work_coverage(spark, sf):
     c = works.coverage(_table(spark, sf, "work_registry"))
     return c.select("work_id", F.col("n_sources").cast("bigint").alias("n_sources"), F.col("n_ingested").cast("bigint").alias("n_ingested"), "ingested_from")
@@ -341,7 +341,7 @@ def holdout_forward_closure(spark, sf):
     return holdout.forward_closure(holdout.candidates(c), c, "row_id").select("row_id", "n_small", "common", "other")
 
 
-_HS = f"(SELECT item_id, CASE WHEN len(w) >= 5 THEN list_distinct(list_transform(range(1, len(w) - 3), i -> array_to_string(w[i:i+4], ' '))) ELSE [array_to_string(w, ' ')] END AS s FROM (SELECT item_id, {TOKENS} AS w FROM holdout_work))"
+_HS = f"(SELECT item_id, CASE WHEN len(w) >= 5 THEN list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i+4], ' '))) ELSE [array_to_string(w, ' ')] END AS s FROM (SELECT item_id, {TOKENS} AS w FROM holdout_work))"
 
 
 @query(f"""WITH {CONTAIN}, h AS (SELECT item_id, unnest(s) AS g FROM {_HS})
@@ -368,8 +368,8 @@ def holdout_verified(spark, sf):
     return holdout.verified(corpus(spark, sf), _table(spark, sf, "holdout_work"))
 
 
-@query(f"""WITH d AS (SELECT row_id, list_concat([-7], list_transform({WORDS}, x -> CAST(length(x) AS INTEGER))) AS s FROM corpus_doc)
-SELECT row_id, CAST(i / 64 AS INTEGER) AS w, list_sum(s[i+1:i+64]) AS sum_x, least(64, len(s) - i - 1) AS n_targets FROM (SELECT row_id, s, unnest(range(0, len(s) - 1, 64)) AS i FROM d)""")
+@query(f"""WITH d AS (SELECT row_id, list_concat([-7], list_transform({WORDS}, lambda x: CAST(length(x) AS INTEGER))) AS s FROM corpus_doc)
+SELECT row_id, CAST(i / 64 AS INTEGER) AS w, CAST(list_sum(s[i+1:i+64]) AS BIGINT) AS sum_x, least(64, len(s) - i - 1) AS n_targets FROM (SELECT row_id, s, unnest(range(0, len(s) - 1, 64)) AS i FROM d)""")
 def eval_windows(spark, sf):
     ids = F.transform(T.words(F.coalesce("text", F.lit(""))), F.length)
     rows = corpus(spark, sf).select("row_id", F.posexplode(holdout.windows(ids, 64, -7)).alias("w", "b"))
