@@ -102,7 +102,7 @@ def oracle_sql() -> dict[str, str]:
     return {
         "p7_found": """
             SELECT DISTINCT chunk_id,
-                   CASE WHEN list_max(list_transform(regexp_split_to_array(text, '[\\s\\x{0B}\\x{1C}-\\x{1F}\\x{85}\\x{A0}\\x{1680}\\x{2000}-\\x{200A}\\x{2028}\\x{2029}\\x{202F}\\x{205F}\\x{3000}]+'), x -> length(x))) > 1500
+                   CASE WHEN list_max(list_transform(regexp_split_to_array(text, '[\\s\\x{0B}\\x{1C}-\\x{1F}\\x{85}\\x{A0}\\x{1680}\\x{2000}-\\x{200A}\\x{2028}\\x{2029}\\x{202F}\\x{205F}\\x{3000}]+'), lambda x: length(x))) > 1500
                         THEN 'forced' ELSE 'natural' END AS cut
             FROM chunk_doc WHERE length(text) > 1500""",
     }
