@@ -37,7 +37,7 @@ RATIO = 8
 _FOREIGN = "\x80-\x9f¡-ª¬®-º¼¾-ÿĀ-ċĎ-şŢ-żſ-ƿǍ-ɏˇ-˝─-▟�"
 _HAS = re.compile(f"[{_FOREIGN}½]")
 _BROKEN = re.compile("[\x80-\x9f�]")
-_LOST = re.compile(r"\S*(?<=\w)\?\w\S*|(?<!\S)[\"'(]*\?\w\S*|[^\W\d]+\?(?=\s|\Z|[.,;!])")
+_SPACE = re.compile(r"\s")
 _TARGET = re.compile(f"[{TARGETS}]")
 
 
@@ -84,18 +84,23 @@ def _contexts(df: DataFrame, text: str, source: str) -> DataFrame:
     def make():
         def step(sources, texts):
             counts: Counter = Counter()
+            # Beyond a blank there is no context, so undamaged text is counted by its distinct tokens.
+            usual: Counter = Counter()
             for s, t in zip(sources, texts):
                 if not t or t.isascii():
                     continue
-                damaged = _HAS.search(t) is not None
+                if not _HAS.search(t):
+                    usual.update(t.split())
+                    continue
                 t = f" {t} "
-                if damaged:
-                    for m in _UNIT.finditer(t):
-                        if len(m[0]) <= 16:
-                            counts[s or "?", m[0], _side(t[m.start() - 1]), _side(t[m.end()])] += 1
-                else:
-                    for m in _TARGET.finditer(t):
-                        counts["", m[0], _side(t[m.start() - 1]), _side(t[m.end()])] += 1
+                for m in _UNIT.finditer(t):
+                    if len(m[0]) <= 16:
+                        counts[s or "?", m[0], _side(t[m.start() - 1]), _side(t[m.end()])] += 1
+            for token, n in usual.items():
+                if not token.isascii():
+                    token = f" {token} "
+                    for m in _TARGET.finditer(token):
+                        counts["", m[0], _side(token[m.start() - 1]), _side(token[m.end()])] += n
             keys = list(zip(*counts)) or [[]] * 4
             return {**dict(zip(("source", "unit", "left", "right"), map(list, keys))), "n": list(counts.values())}
 
@@ -206,20 +211,27 @@ def restorer(tables: dict[str, dict[str, str]], words: Lexicon):
         return token, 3 * bool(_BROKEN.search(token))
 
     def lost(token: str) -> str | None:
-        """``token`` with letters in place of its question marks, if the vocabulary has just such a word."""
-        body = token
-        if body.count("?") > 4:
+        """``token`` with letters in place of its question marks, if the vocabulary has just such a word.
+
+        A mark inside a word or before one is no question; one behind a word may be. A quotation mark may
+        have been lost before a known word.
+        """
+        inside = re.search(r"(?<=\w)\?(?=\w)", token)
+        before = re.match(r"[\"'(]*\?(?=\w)", token)
+        if not (inside or before or re.fullmatch(r"[^\W\d]+\?[.,;!]?", token)) or token.count("?") > 4:
             return None
-        inner = core(body.lstrip("?")) if body.startswith("?") else core(body)
-        holes = [i for i, c in enumerate(body) if c == "?"]
-        best = None
+        inner = core(token.lstrip("?"))
+        holes = [i for i, c in enumerate(token) if c == "?"]
+        best, most = None, RATIO * words.get(inner)
         for letters in itertools.product("čšž", repeat=len(holes)):
-            chars = list(body)
+            chars = list(token)
             for i, c in zip(holes, letters):
                 chars[i] = c
-            word = core("".join(chars))
-            if words.get(word) > max(0 if best is None else words.get(core(best)), RATIO * words.get(inner)):
-                best = "".join(chars)
+            n = words.get(core("".join(chars)))
+            if n > most:
+                best, most = "".join(chars), n
+        if best is None and token.startswith("?") and words.get(inner):
+            return "»" + token[1:]
         return best
 
     fixes, holes = Memo(fix), Memo(lost)
@@ -242,20 +254,19 @@ def restorer(tables: dict[str, dict[str, str]], words: Lexicon):
             new = re.sub(r"[^ \n\t\r]+", token, text)
             if shown >= 3:
                 text, garbled = new, True
-        if "?" in text:
-
-            def hole(m: re.Match) -> str:
-                nonlocal garbled
-                if len(m[0]) > 40 or not (found := holes[m[0]]):
-                    # A quotation mark may have been lost before a known word.
-                    if m[0].startswith("?") and words.get(core(m[0].lstrip("?"))):
-                        garbled = True
-                        return "»" + m[0][1:]
-                    return m[0]
-                garbled = True
-                return found
-
-            text = _LOST.sub(hole, text)
+        at = text.find("?")
+        if at >= 0:
+            out, last = [], 0
+            while at >= 0:
+                start = max(text.rfind(" ", last, at), text.rfind("\n", last, at), last - 1) + 1
+                end = m.start() if (m := _SPACE.search(text, at)) else len(text)
+                token = text[start:end]
+                new = holes[token] if len(token) <= 40 else None
+                if new is not None:
+                    out += (text[last:start], new)
+                    last, garbled = end, True
+                at = text.find("?", end)
+            text = "".join(out) + text[last:]
         return text, garbled
 
     return restore
