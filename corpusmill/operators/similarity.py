@@ -166,6 +166,11 @@ def contained(df: DataFrame, key: str, author: str, title: str, floor: int = P.C
     return best.select(key, "container", "common", "n_small", F.when(F.col("common") > F.lit(drop) * F.col("n_small"), "drop").otherwise("partial").alias("verdict"))
 
 
+def _permuted(seed: int, i: int):
+    """The i-th permutation of shingle hashes, as a function of one column."""
+    return lambda s: F.xxhash64(F.lit(seed), F.lit(i), s)
+
+
 def minhash_candidates(df: DataFrame, key: str, text: str = "text", permutations: int = P.PERMUTATIONS, bands: int = P.BANDS, seed: int = P.SEED) -> DataFrame:
     """``a`` < ``b``: pairs of different shingle sets that share a band of their MinHash signatures.
 
@@ -175,7 +180,7 @@ def minhash_candidates(df: DataFrame, key: str, text: str = "text", permutations
     sets = shingle_sets(df, key, text).groupBy("shingles").agg(F.min(key).alias(key))
     bands_ = []
     for b in range(bands):
-        mins = [F.array_min(F.transform("shingles", lambda s, i=b * rows + r: F.xxhash64(F.lit(seed), F.lit(i), s))) for r in range(rows)]
+        mins = [F.array_min(F.transform("shingles", _permuted(seed, b * rows + r))) for r in range(rows)]
         bands_.append(F.xxhash64(F.lit(b), *mins))
     buckets = checkpointed(sets.select(key, F.explode(F.array(*bands_)).alias("bucket")))
     # In a bucket each set is linked to the least key: components stay whole without all pairs of a bucket.

@@ -105,3 +105,24 @@ def catalog_entries(pages: DataFrame, key: str, text: str = "text", not_works: t
         key, "pos", F.trim("title").alias("title"), F.nullif(F.regexp_extract("tail", r"(1[5-9][0-9][0-9]|20[0-9][0-9])", 1), F.lit("")).cast("int").alias("year"), F.nullif("_s", F.lit("")).alias("genre"),
         F.nullif(F.trim(F.regexp_extract("tail", r"gl\.[ \t]*\[\[(?:[^\]|]*\|)?([^\]]+)\]\]", 1)), F.lit("")).alias("alias_of"), (F.contains("tail", F.lit("(prevod)")) | F.endswith(F.trim("title"), F.lit("(prevod)"))).alias("translation"),
     )
+
+
+def seed(works: DataFrame, entries: DataFrame, pages: DataFrame, key: str) -> DataFrame:
+    """``works`` with the ``entries`` of catalog ``pages`` merged in.
+
+    An entry that names another title (``alias_of``) becomes an alias of it once all titles are there (J13);
+    the others are works of the page's author. Entries of pages without an author are left out.
+    """
+    named = entries.join(pages, key).where("author is not null")
+    empty = "array<struct<source:string,id:string,status:string,year:int,note:string>>"
+    row = lambda title, aliases, flags: (
+        F.concat(T.slug("author"), F.lit("-"), T.slug(title)).alias("work_id"), F.col(title).alias("title"), "author", "year", "genre", flags.alias("flags"), aliases.alias("aliases"), F.array().cast(empty).alias("sources"), F.lit("").alias("notes"),
+    )
+    none = F.array().cast("array<string>")
+    titles = named.where("alias_of is null").select(*row("title", none, F.when(F.col("translation"), F.array(F.lit("prevod"))).otherwise(none)))
+    aliases = named.where("alias_of is not null").withColumn("year", F.lit(None).cast("int")).select(*row("alias_of", F.array("title"), none))
+    new = titles.unionByName(aliases)
+    # Known titles keep their ids.
+    known = title_index(works).select("author", "norm", F.col("work_id").alias("old"))
+    new = new.withColumn("norm", T.normalized_title("title")).join(known, ["author", "norm"], "left").withColumn("work_id", F.coalesce("old", "work_id")).drop("norm", "old")
+    return upsert(works, new)

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions import text as T
-from .operators import chunks, cleaning, documents, holdout, merge, similarity, works
+from .functions import unicode
+from .operators import chunks, cleaning, documents, holdout, merge, similarity, tokenization, works
 from .plans import params as P
 from .sources import files
 from .streaming import dedup
@@ -479,6 +481,26 @@ def first_copies(spark, sf):
     return dedup.first_copies(corpus(spark, sf), "loaded_at").select("content_hash")
 
 
+@query()
+def tokenizer_evaluation(spark, sf):
+    folder = os.path.dirname(chunks.RANKS)
+    paths = {n: f"{folder}/{n}.tiktoken" for n in ("byte_bpe_50k", "byte_bpe_multi_50k")}
+    docs = corpus(spark, sf).withColumn("slice", T.slice_of("source", "author", MAIN_AUTHOR))
+    return tokenization.fertility(tokenization.encoded_counts(docs, paths, "text", "slice"))
+
+
+@query("SELECT row_id, nfc_normalize(text) <> text AS changes FROM corpus_doc WHERE text IS NOT NULL")
+def nfc_violations(spark, sf):
+    return corpus(spark, sf).where("text is not null").select("row_id", (~unicode.is_nfc("text")).alias("changes"))
+
+
+@query()
+def registry_seed(spark, sf):
+    """Works found in the texts' own link lists, merged into the registry."""
+    pages = corpus(spark, sf).select("row_id", "text", "author")
+    return works.seed(_table(spark, sf, "work_registry"), works.catalog_entries(pages, "row_id"), pages.select("row_id", "author"), "row_id")
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
 

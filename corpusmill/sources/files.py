@@ -64,7 +64,7 @@ def parse_records(df: DataFrame, key: str, data: str) -> DataFrame:
         raw = one(name)
         listed = F.from_json(F.when(F.startswith(raw, F.lit("[")), raw).otherwise(F.concat(F.lit("["), F.when(F.startswith(raw, F.lit("{")), raw).otherwise(F.to_json(F.array(raw)).substr(F.lit(2), F.length(F.to_json(F.array(raw))) - 2)), F.lit("]"))), "array<string>")
         text = lambda x: F.coalesce(F.when(F.startswith(x, F.lit("{")), F.get_json_object(x, "$['#text']")).otherwise(x), F.lit(""))
-        return F.coalesce(F.transform(listed, text), F.array().cast("array<string>"))
+        return F.when(raw.isNull(), F.array().cast("array<string>")).otherwise(F.coalesce(F.transform(listed, text), F.array().cast("array<string>")))
 
     urls = F.from_json(F.get_json_object(data, "$.rdf:RDF['edm:WebResource']"), "array<map<string,string>>")
     return df.select(
