@@ -14,7 +14,7 @@ from ..plans import params as P
 #: White space of Unicode as a character class (fixed value).
 SPACE = r"\t\n\x0B\f\r \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
 WORD = r"\p{L}\p{N}_"
-STRIPPED = r""".,;:!?"'()\[\]«»"""
+PUNCTUATION = ".,;:!?\"'()[]«»"
 
 
 def _c(x: str | Column) -> Column:
@@ -78,9 +78,12 @@ def content_hash(text: str | Column) -> Column:
 
 def function_word_count(text: str | Column, lexicon: str = P.FUNCTION_WORDS) -> Column:
     """How many words, without punctuation at their ends, are of ``lexicon``."""
-    known = F.array(*(F.lit(w) for w in dict.fromkeys(lexicon.split())))
-    bare = lambda w: folded(F.regexp_replace(w, f"^[{STRIPPED}]+|[{STRIPPED}]+$", ""))
-    return F.size(F.filter(words(text), lambda w: F.array_contains(known, bare(w))))
+    return function_words_of(words(text), lexicon)
+
+
+def function_words_of(ws: Column, lexicon: str = P.FUNCTION_WORDS) -> Column:
+    """The same for an array of words; a hash set is looked up per word."""
+    return F.size(F.filter(ws, lambda w: folded(F.btrim(w, F.lit(PUNCTUATION))).isin(*dict.fromkeys(lexicon.split()))))
 
 
 def year_count(text: str | Column) -> Column:
@@ -92,14 +95,16 @@ def year_count(text: str | Column) -> Column:
 def index_like(text: str | Column) -> Column:
     """Whether a text is a list of titles or a table of contents."""
 
-    def judge(ls):
-        n = F.size(ls)
-        titles = F.size(F.filter(ls, lambda x: (F.length(x) < P.TITLE_LENGTH) & ~x.rlike(r"""[.!?«“"]$""") & ~x.rlike(r"[,;:!?.]")))
-        numbered = F.size(F.filter(ls, lambda x: x.rlike(r"\p{Nd}")))
-        share, digits = titles / n, numbered / n
-        return (n >= P.INDEX_LINES) & ((share > P.INDEX_TITLES) | (digits > P.INDEX_DIGITS) & (share > P.INDEX_TITLE_FLOOR))
+    return let(lines(text), index_like_lines)
 
-    return let(lines(text), judge)
+
+def index_like_lines(ls: Column) -> Column:
+    """The same for an array of lines; it should be a column or bound, as it is used several times."""
+    n = F.size(ls)
+    titles = F.size(F.filter(ls, lambda x: (F.length(x) < P.TITLE_LENGTH) & ~x.rlike(r"""[.!?«“"]$""") & ~x.rlike(r"[,;:!?.]")))
+    numbered = F.size(F.filter(ls, lambda x: x.rlike(r"\p{Nd}")))
+    share, digits = titles / F.greatest(n, F.lit(1)), numbered / F.greatest(n, F.lit(1))
+    return (n >= P.INDEX_LINES) & ((share > P.INDEX_TITLES) | (digits > P.INDEX_DIGITS) & (share > P.INDEX_TITLE_FLOOR))
 
 
 def verdict(text: str | Column) -> Column:
@@ -120,13 +125,15 @@ def type_counts(text: str | Column, window: int = P.MATTR_WINDOW) -> Column:
     A text within one window has one count, of all its words; an empty one has none.
     """
 
-    def count(w):
-        n = F.size(w)
-        starts = F.sequence(F.lit(0), n - window, F.lit(max(1, window // 5)))
-        many = F.transform(starts, lambda i: F.size(F.array_distinct(F.slice(w, i + 1, window))))
-        return F.when(n > window, many).when(n > 0, F.array(F.size(F.array_distinct(w)))).otherwise(F.array().cast("array<int>"))
+    return let(F.transform(words(text), folded), lambda w: type_counts_of(w, window))
+
 
-    return let(F.transform(words(text), folded), count)
+def type_counts_of(w: Column, window: int = P.MATTR_WINDOW) -> Column:
+    """The same for an array of case-folded words."""
+    n = F.size(w)
+    starts = F.sequence(F.lit(0), n - window, F.lit(max(1, window // 5)))
+    many = F.transform(starts, lambda i: F.size(F.array_distinct(F.slice(w, i + 1, window))))
+    return F.when(n > window, many).when(n > 0, F.array(F.size(F.array_distinct(w)))).otherwise(F.array().cast("array<int>"))
 
 
 def mattr(text: str | Column, window: int = P.MATTR_WINDOW) -> Column:

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..plans import params as P
+from .common import spread
 
 LEVELS = ("pass-through", "paragraph", "line", "sentence", "hard")
 _SENTENCE = re.compile(r"(?<=[.!?…])(\s+)")
@@ -109,7 +110,7 @@ def chunked(df: DataFrame, key: str, text: str = "text", budget: int = P.TOKEN_B
                     at += len(c)
             yield pd.DataFrame(rows, columns=[key, "chunk_index", "n_chunks", "char_start", "char_end", "n_tokens", "level", "text"])
 
-    return df.select(key, text).mapInPandas(run, f"{key} {kind}, chunk_index int, n_chunks int, char_start bigint, char_end bigint, n_tokens bigint, level string, text string")
+    return spread(df.select(key, text)).mapInPandas(run, f"{key} {kind}, chunk_index int, n_chunks int, char_start bigint, char_end bigint, n_tokens bigint, level string, text string")
 
 
 def ladder_use(chunks: DataFrame, docs: DataFrame, key: str, by: str) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..plans import params as P
+from .common import spread
 
 REDIRECT = r"(?i)^\s*#(redirect|preusmeritev)"
 INDEX_TITLE = r"^(Abecedni )?[Ss]eznam "
@@ -128,5 +129,5 @@ def scan_gate(clean: Column) -> Column:
 
 def scanned(df: DataFrame, key: str, text: str = "text") -> DataFrame:
     """``key``, cleaned text, metrics and ``refused`` of every row; null text counts as empty."""
-    c = df.select(key, scan_clean(F.coalesce(F.col(text), F.lit(""))).alias("c"))
+    c = spread(df.select(key, text)).select(key, scan_clean(F.coalesce(F.col(text), F.lit(""))).alias("c"))
     return c.select(key, "c.*", scan_gate(F.col("c")).alias("refused"))

@@ -16,3 +16,12 @@ def checkpointed(df: DataFrame) -> DataFrame:
     if context._jsc.sc().getCheckpointDir().isEmpty():
         context.setCheckpointDir(context.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="corpusmill-"))
     return df.checkpoint(eager=True)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` over all cores if it is read in fewer partitions, as a single small file is; else unchanged.
+
+    Many files of a large table already are many partitions, so nothing is shuffled there.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if not df.isStreaming and df.rdd.getNumPartitions() < cores else df

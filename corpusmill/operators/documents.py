@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..plans import params as P
+from .common import spread
 
 
 def percentile(values: str, q: float):
@@ -34,7 +35,7 @@ def measured(df: DataFrame, text: str = "text") -> DataFrame:
 
 def shard_metrics(df: DataFrame, by: str = "shard", text: str = "text") -> DataFrame:
     """Documents, words, characters, word-count distribution, repeated documents and characters unknown (A1)."""
-    m = measured(df, text).withColumn("unknown", T.unknown_chars(F.coalesce(F.col(text), F.lit("")))).select(by, "n_words", "n_text_chars", "hash", "unknown")
+    m = measured(spread(df.select(by, text)), text).withColumn("unknown", T.unknown_chars(F.coalesce(F.col(text), F.lit("")))).select(by, "n_words", "n_text_chars", "hash", "unknown")
     m = m.persist()
     base = m.groupBy(by).agg(
         F.count("*").alias("n_docs"), F.sum("n_words").alias("n_words"), F.sum("n_text_chars").alias("n_chars"), F.min("n_words").alias("words_min"), F.max("n_words").alias("words_max"),
@@ -46,11 +47,14 @@ def shard_metrics(df: DataFrame, by: str = "shard", text: str = "text") -> DataF
 
 def lexical_metrics(df: DataFrame, by: str, text: str = "text") -> DataFrame:
     """Word-weighted type-token ratio and share of repeated lines per group (A2), in millionths."""
-    body = F.coalesce(F.col(text), F.lit(""))
-    m = df.select(by, T.n_words(body).alias("w"), T.mattr(body).alias("mattr"), T.repeated_lines(body).alias("rep"), F.size(T.lines(body)).alias("lines"))
-    share = F.when(F.col("lines") < 2, 0.0).otherwise(F.col("rep") / F.col("lines"))
-    weighted = lambda x: F.floor(F.sum(x * F.col("w")) / F.nullif(F.sum("w"), F.lit(0)) * 1e6 + 0.5).cast("bigint")
-    return m.groupBy(by).agg(F.count("*").alias("n_docs"), F.sum("w").alias("n_words"), weighted(F.col("mattr")).alias("mattr_millionths"), weighted(share).alias("repeated_line_millionths"))
+    # Arrays that are used several times are columns of their own: each is computed once.
+    arrays = spread(df.select(by, text)).select(by, F.transform(T.words(F.coalesce(F.col(text), F.lit(""))), T.folded).alias("ws"), T.lines(F.coalesce(F.col(text), F.lit(""))).alias("ls"))
+    counted = arrays.select(by, F.size("ws").alias("w"), T.type_counts_of(F.col("ws")).alias("c"), F.size("ls").alias("lines"), F.size(F.array_distinct("ls")).alias("d"))
+    total = F.aggregate("c", F.lit(0).cast("bigint"), lambda a, x: a + x)
+    mattr = F.when(F.size("c") == 0, 0.0).otherwise(total / (F.size("c") * F.least(F.lit(P.MATTR_WINDOW), "w")))
+    m = counted.select(by, "w", mattr.alias("mattr"), F.when(F.col("lines") < 2, 0.0).otherwise((F.col("lines") - F.col("d")) / F.col("lines")).alias("share"))
+    weighted = lambda x: F.floor(F.sum(F.col(x) * F.col("w")) / F.nullif(F.sum("w"), F.lit(0)) * 1e6 + 0.5).cast("bigint")
+    return m.groupBy(by).agg(F.count("*").alias("n_docs"), F.sum("w").alias("n_words"), weighted("mattr").alias("mattr_millionths"), weighted("share").alias("repeated_line_millionths"))
 
 
 def markup_rates(df: DataFrame, by: str, text: str = "text") -> DataFrame:
@@ -60,8 +64,19 @@ def markup_rates(df: DataFrame, by: str, text: str = "text") -> DataFrame:
 
 def gate(df: DataFrame, key: str, text: str = "text") -> DataFrame:
     """``key``, the three signals as counts, and the verdict."""
+    return judged(spread(df.select(key, text)), text).select(key, "n_words", "n_function_words", "n_years", "index_like", "verdict")
+
+
+def judged(df: DataFrame, text: str = "text") -> DataFrame:
+    """``df`` with ``n_words``, ``n_function_words``, ``n_years``, ``index_like``, ``verdict`` (P9); null text is empty.
+
+    Words and lines are columns of their own, so they are found once for all signals.
+    """
     body = F.coalesce(F.col(text), F.lit(""))
-    return df.select(key, T.n_words(body).alias("n_words"), T.function_word_count(body).alias("n_function_words"), T.year_count(body).alias("n_years"), T.index_like(body).alias("index_like"), T.verdict(body).alias("verdict"))
+    arrays = df.withColumns({"_ws": T.words(body), "_ls": T.lines(body)})
+    signals = arrays.withColumns({"n_words": F.size("_ws"), "n_function_words": T.function_words_of(F.col("_ws")), "n_years": T.year_count(body), "index_like": F.coalesce(T.index_like_lines(F.col("_ls")), F.lit(False))}).drop("_ws", "_ls")
+    share = lambda c: F.col(c) / F.nullif("n_words", F.lit(0))
+    return signals.withColumn("verdict", F.when(F.col("n_words") == 0, "empty").when(share("n_function_words") < P.LANGUAGE_FLOOR, "not_slovene").when(share("n_years") > P.YEAR_CEILING, "bibliography").when(F.col("index_like"), "index_list").otherwise("kept"))
 
 
 def reason_counts(df: DataFrame, reason: str, values: list[str] | None = None) -> DataFrame:
@@ -75,7 +90,7 @@ def reason_counts(df: DataFrame, reason: str, values: list[str] | None = None) -
 
 def group_statistics(df: DataFrame, text: str = "text") -> DataFrame:
     """Documents, words and bytes by source and author, with totals per source and overall (A5)."""
-    m = measured(df, text).select("source", F.coalesce("author", F.lit("-")).alias("author"), "n_words", "n_bytes")
+    m = measured(spread(df.select("source", "author", text)), text).select("source", F.coalesce("author", F.lit("-")).alias("author"), "n_words", "n_bytes")
     total = m.rollup("source", "author").agg(F.grouping_id().alias("level"), F.count("*").alias("n_docs"), F.sum("n_words").alias("n_words"), F.sum("n_bytes").alias("n_bytes"))
     return total.select("source", "author", F.col("level").cast("int").alias("level"), "n_docs", "n_words", "n_bytes")
 
@@ -84,7 +99,7 @@ def slice_statistics(df: DataFrame, main_author: str, text: str = "text") -> Dat
     """Per slice: documents, words, bytes, pre-tokens and those of digits, soft hyphens and tabs."""
     body = F.coalesce(F.col(text), F.lit(""))
     units = F.regexp_extract_all(body, F.lit(rf"\p{{L}}+|\p{{N}}{{1,2}}|[^{T.SPACE}\p{{L}}\p{{N}}]+"), F.lit(0))
-    m = df.select(T.slice_of("source", "author", main_author).alias("slice"), T.n_words(body).alias("w"), F.octet_length(body).alias("b"), units.alias("u"), F.contains(body, F.lit("\xad")).alias("soft"), F.contains(body, F.lit("\t")).alias("tab"))
+    m = spread(df.select("source", "author", text)).select(T.slice_of("source", "author", main_author).alias("slice"), T.n_words(body).alias("w"), F.octet_length(body).alias("b"), units.alias("u"), F.contains(body, F.lit("\xad")).alias("soft"), F.contains(body, F.lit("\t")).alias("tab"))
     digits = F.size(F.filter("u", lambda x: x.rlike("^[0-9]+$")))
     return m.groupBy("slice").agg(F.count("*").alias("n_docs"), F.sum("w").alias("n_words"), F.sum("b").alias("n_bytes"), F.sum(F.size("u")).alias("n_units"), F.sum(digits).alias("n_digit_units"), F.count_if("soft").alias("n_soft_hyphen"), F.count_if("tab").alias("n_tab"))
 

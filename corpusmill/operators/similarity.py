@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..plans import params as P
-from .common import checkpointed
+from .common import checkpointed, spread
 
 
 def exact_copies(df: DataFrame, key: str, text: str = "text", order: list[Column] | None = None) -> DataFrame:
@@ -30,8 +30,18 @@ def exact_copies(df: DataFrame, key: str, text: str = "text", order: list[Column
 
 
 def shingle_sets(df: DataFrame, key: str, text: str = "text", size: int = P.SHINGLE) -> DataFrame:
-    """``key``, ``shingles`` (sorted hashes), ``n``; rows without words are left out."""
-    return df.select(key, T.shingle_hashes(text, size).alias("shingles")).withColumn("n", F.size("shingles")).where("n > 0")
+    """``key``, ``shingles`` (sorted hashes), ``n``; rows without words are left out.
+
+    If ``df`` has an array column ``shingles``, that is taken.
+    """
+    return hashed(df, key, text, size).withColumn("n", F.size("shingles")).where("n > 0")
+
+
+def hashed(df: DataFrame, key: str, text: str = "text", size: int = P.SHINGLE) -> DataFrame:
+    """``key``, ``shingles`` of every row; an array column of that name is taken as it is."""
+    if dict(df.dtypes).get("shingles") == "array<bigint>":
+        return df.select(key, "shingles")
+    return spread(df.select(key, text)).select(key, F.coalesce(T.shingle_hashes(text, size), F.array().cast("array<bigint>")).alias("shingles"))
 
 
 def similar_pairs(df: DataFrame, key: str, text: str = "text", similarity: float = P.SIMILARITY, size: int = P.SHINGLE) -> DataFrame:
@@ -59,7 +69,7 @@ def similar_pairs(df: DataFrame, key: str, text: str = "text", similarity: float
 
 def representatives(df: DataFrame, key: str, text: str = "text", size: int = P.SHINGLE) -> DataFrame:
     """``key``, ``root``: the least key with the same shingle set; rows without words are their own."""
-    sets = df.select(key, T.shingle_hashes(text, size).alias("shingles"))
+    sets = hashed(df, key, text, size)
     digest = F.when(F.size("shingles") > 0, F.sha2(F.array_join(F.transform("shingles", lambda x: x.cast("string")), ","), 256)).otherwise(F.concat(F.lit("null-"), F.col(key).cast("string")))
     sets = sets.select(key, digest.alias("_h"))
     return sets.join(sets.groupBy("_h").agg(F.min(key).alias("root")), "_h").select(key, "root")
@@ -89,6 +99,7 @@ def near_duplicates(df: DataFrame, key: str, text: str = "text", similarity: flo
     ``n_links`` counts the different shingle sets this row's set is linked to; a class holds everything
     reachable over links and equal sets.
     """
+    df = checkpointed(hashed(df, key, text, size))
     pairs = checkpointed(similar_pairs(df, key, text, similarity, size).select("a", "b"))
     links = pairs.select(F.col("a").alias("root")).unionByName(pairs.select(F.col("b").alias("root"))).groupBy("root").agg(F.count("*").alias("n_links"))
     labels = components(pairs).withColumnRenamed("node", "root")
@@ -115,6 +126,7 @@ def keep_first(edges: DataFrame, earlier: str = "a", later: str = "b") -> DataFr
 
 def near_duplicate_roots(df: DataFrame, key: str, text: str = "text", similarity: float = P.SIMILARITY, size: int = P.SHINGLE) -> DataFrame:
     """``key``, ``kept``, ``root``: keep-first over near-duplicates; a dropped row's root is its least kept earlier neighbour."""
+    df = checkpointed(hashed(df, key, text, size))
     rows = representatives(df, key, text, size)
     pairs = checkpointed(similar_pairs(df, key, text, similarity, size).select("a", "b"))
     state = keep_first(pairs)
@@ -132,8 +144,14 @@ def overlaps(small: DataFrame, large: DataFrame, small_key: str, large_key: str,
     that the large text has. ``on`` names columns that must be equal (an author, say).
     """
     on = on or []
-    s = small.select(small_key, *on, T.shingle_hashes(text, size).alias("x")).withColumn("n_small", F.size("x")).where("n_small > 0")
-    big = large.select(large_key, *on, T.shingle_hashes(text, size).alias("y")).where(F.size("y") > 0)
+
+    def sets(df: DataFrame, k: str, name: str) -> DataFrame:
+        if dict(df.dtypes).get("shingles") == "array<bigint>":
+            return df.select(k, *on, F.col("shingles").alias(name))
+        return spread(df.select(k, *on, text)).select(k, *on, T.shingle_hashes(text, size).alias(name))
+
+    s = sets(small, small_key, "x").withColumn("n_small", F.size("x")).where("n_small > 0")
+    big = sets(large, large_key, "y").where(F.size("y") > 0)
     s, big = checkpointed(s), checkpointed(big)
     places = big.select(large_key, *on, F.explode("y").alias("s"))
     frequency = places.groupBy(*on, "s").agg(F.count("*").alias("f"))
@@ -154,8 +172,9 @@ def contained(df: DataFrame, key: str, author: str, title: str, floor: int = P.C
     another title and more shingles with the highest share, of equals the least key; above ``drop`` it is
     ``drop``, above ``partial`` it is ``partial``.
     """
-    sized = df.select(key, author, title, text).withColumn("_n", F.size(T.shingles(text)))
-    named = sized.withColumn("_a", F.coalesce(author, F.lit("?")))
+    known = dict(df.dtypes).get("shingles") == "array<bigint>"
+    sized = df.select(key, author, title, "shingles") if known else checkpointed(spread(df.select(key, author, title, text)).select(key, author, title, T.shingle_hashes(text).alias("shingles")))
+    named = sized.withColumns({"_n": F.size("shingles"), "_a": F.coalesce(author, F.lit("?"))})
     volumes = named.where(F.col("_n") >= floor).withColumnRenamed(key, "container")
     works = named.where((F.col("_n") < floor) & (F.col("_n") > 0))
     pairs = overlaps(works, volumes, key, "container", partial, text, ["_a"])

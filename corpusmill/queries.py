@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from .functions import text as T
 from .functions import unicode
+from .operators.common import spread
 from .operators import chunks, cleaning, documents, holdout, merge, similarity, tokenization, works
 from .plans import params as P
 from .sources import files
@@ -56,9 +57,9 @@ SHINGLES = f"(SELECT row_id, CASE WHEN len(w) >= 5 THEN list_distinct(list_trans
 NORM = lambda c: STRIP(f"regexp_replace(regexp_replace({FOLD(c)}, {_n(f'[^{T.WORD}{SP}]')}, ' ', 'g'), {_n(f'[{SP}]+')}, ' ', 'g')")
 TIER = "CASE WHEN shard = 'wikipedia' THEN 3 WHEN shard LIKE 'dlib-%-gapfill' THEN 2 WHEN shard LIKE 'dlib-%' THEN 1 ELSE 0 END"
 LEX = "[" + ", ".join(f"'{w}'" for w in dict.fromkeys(P.FUNCTION_WORDS.split())) + "]"
-_PUNCT = _n(f"^[{T.STRIPPED}]+|[{T.STRIPPED}]+$")
+_PUNCT = _n(T.PUNCTUATION)
 GATE = f"""(SELECT row_id, shard, author, len(w) AS n_words,
-    len(list_filter(w, lambda x: list_contains({LEX}, {FOLD(f"regexp_replace(x, {_PUNCT}, '', 'g')")}))) AS n_function_words,
+    len(list_filter(w, lambda x: list_contains({LEX}, {FOLD(f"trim(x, {_PUNCT})")}))) AS n_function_words,
     len(list_filter(regexp_extract_all(text, '[\\p{{L}}\\p{{N}}_]+'), lambda x: regexp_full_match(x, '1[5-9][0-9][0-9]|20[0-9][0-9]'))) AS n_years,
     len(l) >= 10 AND (len(t) / len(l) > 0.65 OR (len(d) / len(l) > 0.10 AND len(t) / len(l) > 0.30)) AS index_like
   FROM (SELECT row_id, shard, author, text, w, l,
@@ -244,7 +245,7 @@ def authorship(spark, sf):
 
 @query(f"SELECT row_id, CAST(len(s) AS BIGINT) AS n FROM {SHINGLES}")
 def shingle_counts(spark, sf):
-    return corpus(spark, sf).select("row_id", F.size(T.shingles(F.coalesce("text", F.lit("")))).cast("bigint").alias("n"))
+    return spread(corpus(spark, sf).select("row_id", "text")).select("row_id", F.size(T.shingles(F.coalesce("text", F.lit("")))).cast("bigint").alias("n"))
 
 
 @query(f"SELECT row_id, first_value(row_id) OVER (PARTITION BY coalesce(sha256(text), 'null-' || row_id) ORDER BY {TIER}, shard, row_id) AS root FROM corpus_doc")
@@ -396,7 +397,7 @@ def scan_clean(spark, sf):
 
 @query()
 def wiki_clean(spark, sf):
-    return corpus(spark, sf).select("row_id", cleaning.clean_wikitext(cleaning.preclean(F.coalesce("text", F.lit("")))).alias("text"))
+    return spread(corpus(spark, sf).select("row_id", "text")).select("row_id", cleaning.clean_wikitext(cleaning.preclean(F.coalesce("text", F.lit("")))).alias("text"))
 
 
 @query()
