@@ -187,20 +187,29 @@ def _walk(words: list[str], starts: list[int], stream: str, i: int, shift: int,
             failed = 0
             i += step
             continue
-        # Look for this word and the next nearby; a shift of a sign or two is damage, not a word.
-        pair = [i, i + step]
-        if 0 <= pair[1] < n:
-            a, b = min(pair), max(pair)
-            both = words[a] + words[b]
-            expected = starts[a] + shift
-            low, high = (expected - 4, expected + 40) if step > 0 else (expected - 40, expected + 4)
-            found = stream.find(both, max(0, low), max(0, high) + len(both)) if len(both) > 5 else -1
-            if found >= 0:
-                moved = found - expected
-                shift += moved
-                if failed == 0 and abs(moved) > 2:
-                    extra[i] = extra.get(i, 0) + 1 + abs(moved) // 12
-                continue
+        # Look for it nearby, with the next word or by itself; a shift of a sign or two is damage, not a word.
+        expected = starts[i] + shift
+        j = i + step
+        moved = None
+        if 0 <= j < n:
+            a, b = min(i, j), max(i, j)
+            both, first = words[a] + words[b], starts[a] + shift
+            low, high = (first - 4, first + 40) if step > 0 else (first - 40, first + 4)
+            if len(both) > 5 and (found := stream.find(both, max(0, low), max(0, high) + len(both))) >= 0:
+                moved = found - first
+        if moved is None and len(w) > 3:
+            low, high = max(0, expected - 18), max(0, expected + 18 + len(w))
+            places = [p.start() for p in re.finditer(re.escape(w), stream[low:high])]
+            if places:
+                moved = min((low + p - expected for p in places), key=abs)
+        if moved is not None:
+            shift += moved
+            if failed == 0 and abs(moved) > 2:
+                extra[i] = extra.get(i, 0) + 1 + abs(moved) // 12
+            marks[i] = 1
+            failed = 0
+            i += step
+            continue
         if marks.get(i) != 1:
             marks[i] = 0
         failed += 1
