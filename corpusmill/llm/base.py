@@ -98,11 +98,13 @@ def canonical_author(df: DataFrame, authors: DataFrame | None = None, column: st
 def checkpointed(df: DataFrame) -> DataFrame:
     """``df`` cut from its lineage by a reliable checkpoint.
 
-    The folder is the one named in ``spark.checkpoint.dir``; only where none is set, as in tests, a
-    temporary one of this machine is used.
+    The folder is the one named in ``spark.checkpoint.dir``; where none is set, a temporary one is used on a
+    single machine, as in tests, and a cluster must set one.
     """
     context = df.sparkSession.sparkContext
     if context._jsc.sc().getCheckpointDir().isEmpty():
-        folder = context.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="corpusmill-")
-        context.setCheckpointDir(folder)
+        folder = context.getConf().get("spark.checkpoint.dir")
+        if not folder and not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="corpusmill-"))
     return df.checkpoint(eager=True)

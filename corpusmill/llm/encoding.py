@@ -74,6 +74,23 @@ def _swapped(unit: str) -> bool:
     return len(set(unit)) > 1 and _IMAGES.fullmatch(unit) is not None and (len(unit) > 2 or unit in _KNOWN)
 
 
+def _utf8(unit: str) -> str | None:
+    """What a run of foreign characters is if it is UTF-8 read as a single-byte code page, once or more; else None."""
+    done = None
+    while len(unit) > 1:
+        for read in READ[:5]:
+            try:
+                new = unit.encode(read).decode("utf-8")
+            except UnicodeError:
+                continue
+            if len(new) < len(unit) and new.isprintable():
+                break
+        else:
+            return done
+        done = unit = new
+    return done
+
+
 def _side(char: str) -> str:
     return char.lower() if char.isalpha() else " "
 
@@ -189,7 +206,10 @@ def restorer(tables: dict[str, dict[str, str]], words: Lexicon):
         table = tables.get(source, {})
 
         def unit(m: re.Match) -> str:
-            if (t := table.get(m[0])) is not None:
+            u = m[0]
+            if u not in known and len(u) > 1 and (t := _utf8(u)) is not None:
+                return t
+            if (t := table.get(u)) is not None:
                 return t
             return "".join(table.get(p) or _one(known, p) for p in _parts(m[0], Counter(), known))
 
@@ -206,7 +226,7 @@ def restorer(tables: dict[str, dict[str, str]], words: Lexicon):
             # Umlauts and a sharp s alone may also be letters that a scan misread.
             return new, 1 if set(_HAS.findall(token)) <= _UMLAUTS else 3
         # A run of characters that only a code page swap makes is one whatever the word.
-        if any(_swapped(m[0]) for m in _UNIT.finditer(token)):
+        if any(_swapped(m[0]) or len(m[0]) <= 64 and _utf8(m[0]) is not None for m in _UNIT.finditer(token)):
             return new, 3
         return token, 3 * bool(_BROKEN.search(token))
 
