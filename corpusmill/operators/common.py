@@ -10,18 +10,25 @@ from pyspark.sql import DataFrame
 def checkpointed(df: DataFrame) -> DataFrame:
     """``df`` cut from its lineage by a reliable checkpoint in the session's shared folder.
 
-    Only where ``spark.checkpoint.dir`` names none, as in tests, a temporary one is made.
+    Where ``spark.checkpoint.dir`` names none, a temporary one is made on a single machine, as in tests; a
+    cluster must name one.
     """
     context = df.sparkSession.sparkContext
     if context._jsc.sc().getCheckpointDir().isEmpty():
-        context.setCheckpointDir(context.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="corpusmill-"))
+        folder = context.getConf().get("spark.checkpoint.dir")
+        if not folder and not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="corpusmill-"))
     return df.checkpoint(eager=True)
 
 
 def spread(df: DataFrame) -> DataFrame:
     """``df`` over all cores if it is read in fewer partitions, as a single small file is; else unchanged.
 
-    Many files of a large table already are many partitions, so nothing is shuffled there.
+    Many files of a large table already are many partitions, so nothing is shuffled there. What comes from a
+    shuffle is left alone: asking for its partitions would run it.
     """
+    if df.isStreaming or "Exchange" in df._jdf.queryExecution().executedPlan().toString():
+        return df
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if not df.isStreaming and df.rdd.getNumPartitions() < cores else df
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

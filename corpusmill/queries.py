@@ -409,8 +409,10 @@ def page_skip_counts(spark, sf):
 
 @query()
 def crawl_skip_counts(spark, sf):
-    c = corpus(spark, sf).where("source = 'wikivir'").crossJoin(_table(spark, sf, "author_cfg").agg(F.collect_set("name").alias("names")))
-    others = F.filter("names", lambda n: ~n.eqNullSafe(F.col("author")))
+    c = corpus(spark, sf).where("source = 'wikivir'")
+    # The roster is a settings table; each row leaves out its own author.
+    names = [r["name"] for r in _table(spark, sf, "author_cfg").select("name").distinct().orderBy("name").collect()]
+    others = F.filter(F.array(*map(F.lit, names)), lambda n: ~n.eqNullSafe(F.col("author")))
     reason = cleaning.crawl_skip_reason(F.coalesce("title", F.lit("")), F.coalesce("text", F.lit("")), others)
     return c.groupBy(F.coalesce(reason, F.lit("kept")).alias("reason")).agg(F.count("*").alias("n"))
 
@@ -423,7 +425,7 @@ def catalog_headings(spark, sf):
     return lines.where(F.regexp_extract("line", r"^=+[ \t]*([^=]+?)[ \t]*=+[ \t]*$", 1) != "").groupBy("row_id").agg(F.count("*").alias("n_headings"), F.min("pos").alias("first_at"))
 
 
-@query("SELECT DISTINCT unnest(regexp_extract_all(url, '(URN:[A-Z]+(?::[A-Z]+)*-[0-9A-Z]+)', 1)) AS urn FROM corpus_doc")
+@query("SELECT DISTINCT urn FROM (SELECT unnest(regexp_extract_all(url, '(URN:[A-Z]+(?::[A-Z]+)*-[0-9A-Z]+)', 1)) AS urn FROM corpus_doc) WHERE contains(urn, ':DOC-')")
 def record_ids(spark, sf):
     return files.record_ids(corpus(spark, sf), "url")
 

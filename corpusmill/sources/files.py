@@ -74,9 +74,9 @@ def parse_records(df: DataFrame, key: str, data: str) -> DataFrame:
     )
 
 
-def record_ids(df: DataFrame, text: str) -> DataFrame:
-    """Distinct ``urn`` of the pages."""
-    return df.select(F.explode(F.regexp_extract_all(text, F.lit(r"(URN:[A-Z]+(?::[A-Z]+)*-[0-9A-Z]+)"), F.lit(1))).alias("urn")).distinct()
+def record_ids(df: DataFrame, text: str, kind: str = "DOC") -> DataFrame:
+    """Distinct ``urn`` of the pages that are of ``kind``."""
+    return df.select(F.explode(F.regexp_extract_all(text, F.lit(r"(URN:[A-Z]+(?::[A-Z]+)*-[0-9A-Z]+)"), F.lit(1))).alias("urn")).where(F.col("urn").rlike(f"[:]{kind}-")).distinct()
 
 
 def decoded(df: DataFrame, data: str) -> DataFrame:
