@@ -54,7 +54,7 @@ _LINE_END = re.compile(r"\\\\(?:\[[^\]\n]*\])?[ \t]*$", re.M)
 _WIKI = re.compile(r"\{\{[^{}\n]|\}\}|\[\[[^\[\]\n]|\]\]|'{2,5}(?=[^'\s])|^(={1,6})[^=\n].*?\1[ \t]*$|^\{\|[^\n]*$|^\|\}[^\n]*$|^\|-+(?:[ \t]+\w+ ?=[^\n]*)?[ \t]*$|\[(?:https?|ftp)://[^\s\]]+ [^\]\n]*\]|__[A-ZČŠŽ]{4,}__", re.M)
 _MARKDOWN = re.compile(
     r"^#{1,6} +\S|^\S.*\n(?:={3,}|-{3,})[ \t]*$|\*\*(?=\S)[^*\n]+\*\*|!?\[[^\[\]\n]+\]\([^()\s]+\)|^(?:```|~~~)|^\|[ :\-|]*-{3}[ :\-|]*\|[ \t]*$|\[\^[\w]+\]"
-    r"|(?<![\w_/])_(?=[^\W_])[^_\n]*[^\s_]_(?![\w_])|(?<!`)`[^`\n]+`(?!`)|(?:\A|\n\n)(?:> (?!\d+\b)\S|[-*+] (?![\d ]+-$)[^\n]+|1\. [^\n]+\n2\. [^\n]+)(?=\n|\Z)",
+    r"|(?<![\w_/])_(?=[^\W_])[^_\n]*[^\s_]_(?![\w_])|(?<!`)`[^`\n]+`(?!`)|(?:\A|\n\n)(?:> (?!\d+\b)\S[^\n]*|[-*+] (?![\d ]+-$)[^\n]+|1\. [^\n]+\n2\. [^\n]+)(?=\n|\Z)",
     re.M,
 )
 _HINT = re.compile(r"[<&\\{}\[`>#$~]|\*\*|''|==|--|__|(?<!\w)_\w|^[-+*|] ?|^1\. ", re.M)
