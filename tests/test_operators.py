@@ -247,3 +247,17 @@ def test_extra_columns_do_not_clash(spark):
     assert similarity.near_duplicates(df, "row_id").first()["class_id"] == 1
     assert similarity.exact_copies(df, "row_id").first()["root"] == 1
     assert T.n_words("text") is not None
+
+
+def test_reports_and_shipping(spark, tmp_path, monkeypatch):
+    df = spark.createDataFrame([("b", 2), ("a", None)], "shard string, n int")
+    files.write_report(df, str(tmp_path / "r.md"), "Naslov", ["shard"])
+    assert (tmp_path / "r.md").read_text().splitlines()[-2:] == ["| a | - |", "| b | 2 |"]
+    assert files.file_sha256(str(tmp_path / "r.md")) == files.file_sha256(str(tmp_path / "r.md"))
+    from corpusmill.plans import session
+
+    monkeypatch.chdir(tmp_path)
+    monkeypatch.setenv("PYTHONPATH", "")
+    session.ship(spark)
+    session.ship(spark)
+    assert spark.range(3).mapInPandas(lambda it: (b.assign(id=__import__("corpusmill.plans.params").plans.params.SHINGLE) for b in it), "id bigint").first()["id"] == 5
