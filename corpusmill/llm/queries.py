@@ -97,6 +97,12 @@ def queries() -> dict[str, Query]:
     return {f.__name__: f for f in own}
 
 
+#: What p6_found looks for, as SQL: marked characters, text that composition changes, words of mixed scripts.
+_MARKS = r"[\x{FB00}-\x{FB06}\x{FB13}-\x{FB17}\x{132}\x{133}\x{1C4}-\x{1CC}\x{1F1}-\x{1F3}\x{FF01}-\x{FF60}\x{FFE0}-\x{FFE6}\x{1D400}-\x{1D7FF}\x{2102}\x{210A}-\x{2113}\x{2115}\x{2119}-\x{211D}\x{2124}\x{2128}\x{212C}\x{212D}\x{212F}-\x{2131}\x{2133}\x{2134}\x{200B}-\x{200D}\x{2060}\x{FEFF}\x{A0}\x{2007}\x{202F}\x{3000}]"
+_MIXED = r"\p{Latin}[\p{L}\p{Mn}]*[\p{Greek}\p{Cyrillic}]|[\p{Greek}\p{Cyrillic}][\p{L}\p{Mn}]*\p{Latin}"
+_MARKED = f"(regexp_matches({{c}}, '{_MARKS}') OR nfc_normalize({{c}}) <> {{c}} OR regexp_matches({{c}}, '{_MIXED}'))"
+
+
 def oracle_sql() -> dict[str, str]:
     """SQL of the queries that DuckDB can state; the others are tested against brute force and round trips."""
     return {
@@ -105,4 +111,5 @@ def oracle_sql() -> dict[str, str]:
                    CASE WHEN list_max(list_transform(regexp_split_to_array(text, '[\\s\\x{0B}\\x{1C}-\\x{1F}\\x{85}\\x{A0}\\x{1680}\\x{2000}-\\x{200A}\\x{2028}\\x{2029}\\x{202F}\\x{205F}\\x{3000}]+'), lambda x: length(x))) > 1500
                         THEN 'forced' ELSE 'natural' END AS cut
             FROM chunk_doc WHERE length(text) > 1500""",
+        "p6_found": " UNION ".join(f"SELECT row_id, '{c}' AS field FROM corpus_doc WHERE {_MARKED.replace('{c}', c)}" for c in ("text", "title")),
     }
