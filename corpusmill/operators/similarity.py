@@ -58,9 +58,14 @@ def similar_pairs(df: DataFrame, key: str, text: str = "text", similarity: float
     shared = exploded.join(frequency, "s").select(key, "n", F.struct("f", "s").alias("r"))
     ranked = shared.groupBy(key, "n").agg(F.array_sort(F.collect_list("r")).alias("rs"))
     prefix = F.col("n") - F.ceil(F.lit(similarity) * F.col("n") - 1e-9).cast("int") + 1 - (F.col("n") - F.size("rs"))
-    heads = ranked.withColumn("p", F.greatest(F.lit(0), prefix)).where("p > 0").select(F.col(key), "n", F.explode(F.slice("rs", 1, F.greatest(F.lit(1), F.col("p").cast("int")))).alias("r")).select(key, "n", F.col("r.s").alias("s"))
-    left, right = heads.select(F.col(key).alias("a"), F.col("n").alias("n_a"), "s"), heads.select(F.col(key).alias("b"), F.col("n").alias("n_b"), "s")
+    ahead = F.col("n") - F.size("rs")
+    cut = F.slice("rs", 1, F.greatest(F.lit(1), F.col("p").cast("int")))
+    heads = ranked.withColumn("p", F.greatest(F.lit(0), prefix)).where("p > 0").withColumn("ahead", ahead).select(key, "n", "ahead", F.posexplode(cut).alias("i", "r"))
+    heads = heads.select(F.col(key), "n", F.col("r.s").alias("s"), (F.col("n") - F.col("ahead") - F.col("i")).alias("rest"))
+    left, right = heads.select(F.col(key).alias("a"), F.col("n").alias("n_a"), F.col("rest").alias("r_a"), "s"), heads.select(F.col(key).alias("b"), F.col("n").alias("n_b"), F.col("rest").alias("r_b"), "s")
     near = (F.col("a") < F.col("b")) & (F.least("n_a", "n_b") >= F.lit(similarity) * F.greatest("n_a", "n_b") - 1e-9)
+    # From the first common shingle on, no more can be common than either set has left; a similar pair passes there.
+    near &= F.least("r_a", "r_b") >= F.lit(similarity / (1 + similarity)) * (F.col("n_a") + F.col("n_b")) - 1e-9
     candidates = left.join(right, "s").where(near).select("a", "b").distinct()
     one, two = sets.select(F.col(key).alias("a"), F.col("shingles").alias("x"), F.col("n").alias("n_a")), sets.select(F.col(key).alias("b"), F.col("shingles").alias("y"), F.col("n").alias("n_b"))
     scored = candidates.join(one, "a").join(two, "b").select("a", "b", F.size(F.array_intersect("x", "y")).alias("common"), "n_a", "n_b")
