@@ -25,7 +25,7 @@ MISREAD = {
 }
 #: Those that are no letters of Slovene words: they prove a misreading by themselves (fixed value).
 _SIGNS = frozenset("1!|05698†(öß'")
-#: How much more frequent the read word must be than what stands there, for letters.
+#: How much more frequent the read word must be than what stands there.
 RATIO = 25
 #: Most misread places in a word, and the cost of each; cost of a gap between words run together.
 MOST, PLACE_COST, GAP_COST = 3, 4.0, 2.5
@@ -105,7 +105,7 @@ class Reader:
                         states.append((done + to, at + span, n + 1))
         if best is None:
             return None
-        if not signs and (len(word) < 4 or best[2] < RATIO * max(1, here)):
+        if best[2] < RATIO * here or not signs and (len(word) < 4 or best[2] < RATIO):
             return None
         return best[1], best[2], bool(signs)
 
@@ -131,7 +131,8 @@ class Reader:
         """(token as it should read, evidence of misreading: 0 none, 1 by letters, 2 by signs)."""
         core = token.strip(_EDGE)
         low = core.lower()
-        if len(low) < 2 or not _SUSPECT.search(low) or low.isalpha() and self.weight(low) >= RATIO:
+        # However often a form stands in the corpus, its best reading decides: misreadings recur too.
+        if len(low) < 2 or not _SUSPECT.search(low):
             return token, 0
         # An exclamation or opening bracket at the edge is punctuation if the rest is a word.
         bare = low.strip("!(").removesuffix("'")
