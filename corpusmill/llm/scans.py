@@ -1,13 +1,15 @@
 """Problem 3: text of scanned pages becomes continuous paragraphs.
 
-Page furniture is taken out, the lines are joined to one character stream, and each stretch of the
-stream that the vocabulary doesn't know is decoded jointly: words may be split by division marks, run
-together, or hold misread characters. Paragraph boundaries are then chosen by dynamic programming over
+Page furniture is taken out, words divided at line ends are joined, and each token is read by the
+vocabulary with misread characters allowed. What it still doesn't know is decoded, alone or with a
+neighbour in its line, by one dynamic program over the characters: words may be run together, hold a
+blank, and hold misread characters, all at once. Paragraph boundaries are then chosen by dynamic programming over
 the lines. Vocabulary sizes are bounded as :mod:`.lexicon` explains.
 """
 
 from __future__ import annotations
 
+import bisect
 import math
 import re
 
@@ -29,6 +31,8 @@ _SIGNS = frozenset("1!|05698†(öß'")
 RATIO = 25
 #: Most misread places in a word, and the cost of each; cost of a gap between words run together.
 MOST, PLACE_COST, GAP_COST = 3, 4.0, 2.5
+#: Cost of a blank inside a word; of an unknown word left as it is: once, for each letter, for each letter beyond ten.
+BLANK_COST, UNKNOWN_COST, LETTER_COST, LONG_COST = 3.0, 3.0, 1.5, 2.0
 #: Division marks (fixed value).
 MARKS = "-¬­⸗‐"
 
@@ -39,6 +43,7 @@ _RUNNING = re.compile(r"[^\W\d_][\w'-]+[:,] [^.!?]{2,60}\.(?: [IVXLC]+\.)?")
 _UNSEEN = re.compile("[​‌‍⁠﻿]")
 _DIVIDED = re.compile(rf"([^\W\d_]+)[{MARKS}] ?\Z")
 _EDGE = ".,;:?»«›‹)[]{}\"„“”‚‘’–—-…/*_#<>=·­¬"
+_BLANKS = re.compile(r"(\s+)")
 _SUSPECT = re.compile(r"[^\W\d_]")
 
 
@@ -76,6 +81,10 @@ class Reader:
         self.longest = max(map(len, words.words), default=0)
         self.total = sum(words.words.values()) or 1
         self.known = Memo(self._read)
+        self.order = sorted(words.words)
+        self.begins = Memo(self._begins)
+        self.decoded = Memo(self._decode)
+        self.open = Memo(lambda token: bool(core := _parted(token)[1]) and not self.weight(core.lower()))
 
     def weight(self, word: str) -> int:
         return self.words.get(word)
@@ -127,6 +136,98 @@ class Reader:
             end = back[end]
         return out[::-1]
 
+    def _begins(self, start: str) -> bool:
+        at = bisect.bisect_left(self.order, start)
+        return at < len(self.order) and self.order[at].startswith(start)
+
+    def _words_at(self, text: str, start: int) -> list[tuple[float, int, str, int]]:
+        """Vocabulary words that ``text`` may hold from ``start`` on: cost, end, word, evidence of misreading."""
+        out = []
+        states = [("", start, 0, 0, 0)]
+        while states:
+            done, at, places, blanks, signs = states.pop()
+            if done and (at == len(text) or text[at] != " " or blanks == 0) and (w := self.weight(done)):
+                # Words of one letter lean on the next word, so none ends a token.
+                if len(done) == 1 and start and text[start - 1] != " " and (at == len(text) or text[at] == " "):
+                    pass
+                elif not places or signs == places or places - signs <= 1 and len(done) >= 4 and w >= RATIO:
+                    gap = GAP_COST if at < len(text) and text[at] != " " else 0.0
+                    out.append((math.log(self.total / w) + PLACE_COST * places + BLANK_COST * blanks + gap, at, done, 2 if signs else 1 if places else 0))
+            if at == len(text):
+                continue
+            c = text[at]
+            if c == " ":
+                if done and not blanks:
+                    states.append((done, at + 1, places, 1, signs))
+                continue
+            if c not in _SIGNS and self.begins[done + c]:
+                states.append((done + c, at + 1, places, blanks, signs))
+            for span in (2, 1) if places < MOST else ():
+                piece = text[at : at + span]
+                sign = any(x in _SIGNS for x in piece)
+                for to in MISREAD.get(piece, ()) if len(piece) == span and (sign or places == signs) else ():
+                    if self.begins[done + to]:
+                        states.append((done + to, at + span, places + 1, blanks, signs + sign))
+        return out
+
+    def _decode(self, text: str) -> tuple[list[tuple[int, int, str]], int] | None:
+        """Words that a stretch of blank-separated tokens in lower case holds, if they are likelier than the stretch as it is.
+
+        One dynamic program over its characters: a word may hold one blank and misread places, and a blank
+        may be missing between two. Gives (start, end, word) of each and the evidence of misreading.
+        """
+        n = len(text)
+        cost: list[float] = [0.0] + [math.inf] * n
+        back: list[tuple[int, str, int] | None] = [None] * (n + 1)
+        for start in range(n):
+            if cost[start] == math.inf:
+                continue
+            if text[start] == " ":
+                if cost[start] < cost[start + 1]:
+                    cost[start + 1], back[start + 1] = cost[start], (start, "", 0)
+                continue
+            for more, end, word, evidence in self._words_at(text, start):
+                if cost[start] + more < cost[end]:
+                    cost[end], back[end] = cost[start] + more, (start, word, evidence)
+        as_is = sum(math.log(self.total / w) if (w := self.weight(t)) else UNKNOWN_COST + LETTER_COST * len(t) + LONG_COST * max(0, len(t) - 10) for t in text.split(" "))
+        if cost[n] >= as_is:
+            return None
+        out, evidence, end = [], 0, n
+        while end:
+            start, word, shown = back[end]
+            if word:
+                out.append((start, end, word))
+                evidence = max(evidence, shown)
+            end = start
+        return out[::-1], evidence
+
+    def line(self, text: str) -> tuple[str, int]:
+        """``text`` with what the vocabulary doesn't know decoded, alone or with a neighbour, and the evidence of misreading."""
+        out, shown, i = _BLANKS.split(text), 0, 0
+        out, blanks = out[::2], out[1::2]
+        while i < len(out):
+            if not self.open[out[i]]:
+                i += 1
+                continue
+            for a, b in ((i - 1, i + 1), (i, i + 2), (i, i + 1)):
+                parts = [_parted(t) for t in out[max(a, 0) : b]]
+                if a < 0 or len(parts) < b - a or not all(p[1] for p in parts) or b - a == 2 and (parts[0][2] or parts[1][0] or not parts[1][1].islower()):
+                    continue
+                stretch = " ".join(p[1] for p in parts)
+                # A bar between words divides cells, it isn't a letter.
+                if "|" in stretch and any(len(x) > 2 and self.weight(x) for x in re.split(r"[| ]", stretch.lower())):
+                    continue
+                if (found := self.decoded[stretch.lower()]) is None:
+                    continue
+                words = [_cased(stretch[x:y].replace(" ", ""), w) for x, y, w in found[0]]
+                out[a:b] = [parts[0][0] + " ".join(words) + parts[-1][2]]
+                del blanks[a : b - 1]
+                shown += found[1]
+                i = a
+                break
+            i += 1
+        return "".join(t for pair in zip(out, [*blanks, ""]) for t in pair), shown
+
     def _read(self, token: str) -> tuple[str, int]:
         """(token as it should read, evidence of misreading: 0 none, 1 by letters, 2 by signs)."""
         core = token.strip(_EDGE)
@@ -152,6 +253,20 @@ class Reader:
         return token, 0
 
 
+def _parted(token: str) -> tuple[str, str, str]:
+    """Edge, word and edge of a token; the word is empty if it holds anything but letters and signs."""
+    core = token.strip(_EDGE).strip("!(")
+    if not core or len(core) > 40 or not _SUSPECT.search(core) or not all(c.isalpha() or c in _SIGNS for c in core):
+        return token, "", ""
+    at = token.find(core)
+    return token[:at], core, token[at + len(core) :]
+
+
+def _cased(old: str, word: str) -> str:
+    """``word`` in the case of ``old``."""
+    return old if old.lower() == word else word.upper() if old.isupper() and len(old) > 1 else word[:1].upper() + word[1:] if old[:1].isupper() else word
+
+
 def reader(words: Lexicon):
     """Function from a text to (repaired text, kinds of damage)."""
     read = Reader(words)
@@ -204,21 +319,27 @@ def reader(words: Lexicon):
                         del lines[j]
                 lines[i] = line
                 i += 1
-        shown = 0
+        shown, decoded = 0, False
         known = read.known
         for line in lines:
-            new = line
+            new, unread = line, False
             for token in line.split():
                 fixed, evidence = known[token] if len(token) < 40 else (token, 0)
                 if evidence:
                     shown += evidence
                     new = new.replace(token, fixed, 1)
-                elif len(token) > 25 and token.isprintable() and not re.search(r"[/@<>&=\\{}\[\]_]", token):
+                    continue
+                unread = unread or read.open[token]
+                if len(token) > 25 and token.isprintable() and not re.search(r"[/@<>&=\\{}\[\]_]", token):
                     new = new.replace(token, _spaced(token, read), 1)
+            if unread:
+                new, evidence = read.line(new)
+                shown += evidence
+            decoded |= new != line
             out.append(new)
         if shown:
             kinds.add("misread")
-        else:
+        elif not decoded:
             out = lines
         return _paragraphs(out) if len(out) > 1 else out[0], sorted(kinds)
 
