@@ -2,7 +2,9 @@
 
 Balanced targets: the smallest number of pieces that can hold an item gives equally spaced cuts; each
 is moved to the strongest boundary near it, nearest first among equals. If that leaves a cut without a
-natural boundary, one more piece is tried, up to ``EXTRA`` times, before a cut is forced.
+natural boundary, one more piece is tried, up to ``EXTRA`` times. If that isn't enough, the text is cut
+anew from its start, and a piece ends early wherever else a cut would be forced; a cut is then forced
+only where its piece has no natural boundary at all.
 """
 
 from __future__ import annotations
@@ -15,7 +17,7 @@ from pyspark.sql import DataFrame
 from .base import map_batches
 from .tokens import counter
 
-#: Most code points of a piece, code points a piece repeats of the one before, pieces added at most.
+#: Most code points of a piece, code points a piece repeats of the one before, pieces added evenly at most.
 LIMIT, OVERLAP, EXTRA = 1500, 100, 3
 #: Half the width, as a share of a piece's stride, of the window in which a stronger boundary is preferred.
 REACH = 0.35
@@ -59,6 +61,28 @@ def _cuts(text: str, k: int, limit: int, overlap: int) -> tuple[list[int], int]:
     return [*ends, n], forced
 
 
+def _walk(text: str, limit: int, overlap: int) -> tuple[list[int], int]:
+    """Ends of as many pieces as it takes and how many of the cuts are forced, which is the least there can be."""
+    n, ends, forced = len(text), [], 0
+    stride = limit - overlap
+    while True:
+        last = ends[-1] if ends else 0
+        start = last - overlap if ends else 0
+        if n - start <= limit:
+            return [*ends, n], forced
+        high = start + limit
+        left = -(-(n - high) // stride)
+        least = max(last + 1, overlap + 1)
+        low = max(least, n - left * stride)
+        target = start + overlap + round((n - start - overlap) / (left + 1))
+        cut, natural = _snap(text, low, high, min(max(target, low), high), int(REACH * stride))
+        if not natural and least < low:
+            early, natural = _snap(text, least, high, high, int(REACH * stride))
+            cut = early if natural else cut
+        forced += not natural
+        ends.append(cut)
+
+
 def split(text: str | None, limit: int = LIMIT, overlap: int = OVERLAP) -> tuple[list[tuple[int, int]], str | None]:
     """Spans of the pieces of ``text`` and how it was cut.
 
@@ -78,6 +102,8 @@ def split(text: str | None, limit: int = LIMIT, overlap: int = OVERLAP) -> tuple
             best = ends, forced
         if not forced:
             break
+    if best[1] and (walked := _walk(text, limit, overlap))[1] < best[1]:
+        best = walked
     ends = best[0]
     spans = [(max(0, a - overlap), b) for a, b in zip([0, *ends], ends)]
     return spans, "forced" if longest_run(text) > limit else "natural"
