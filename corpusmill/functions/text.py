@@ -197,6 +197,11 @@ def tier(shard: str | Column) -> Column:
     return F.when(s == "wikipedia", 3).when(s.startswith("dlib-") & s.endswith("-gapfill"), 2).when(s.startswith("dlib-"), 1).otherwise(0)
 
 
+def source_name(source: str | Column) -> Column:
+    """One spelling per source: lower case, without blanks, hyphens and underscores."""
+    return F.regexp_replace(F.lower(_c(source)), r"[\s_\-]+", "")
+
+
 def slice_of(source: str | Column, author: str | Column, main_author: str) -> Column:
     """Reporting slice: the main author first, then the encyclopedia, else literary."""
     return F.when(_c(author) == main_author, "main_author").when(_c(source) == "wikipedia", "wikipedia").otherwise("literary")

@@ -9,6 +9,7 @@ import re
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -169,6 +170,19 @@ def crop_loss(lengths: list[int], budget: int, buffer: int = P.PACK_BUFFER) -> t
                 room = 0
 
 
+def measured(df: DataFrame, *keep: str, text: str = "text", path: str = RANKS) -> DataFrame:
+    """``keep`` and ``n_tokens`` of every row, counted from its text; null and empty texts have none."""
+    kinds = ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in keep)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encode = encoder(path).encode_ordinary
+        for batch in batches:
+            sizes = pa.array([len(encode(t)) if t else 0 for t in batch.column(len(keep)).to_pylist()], pa.int64())
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], sizes], names=[*keep, "n_tokens"])
+
+    return df.select(*keep, text).mapInArrow(run, f"{kinds}, n_tokens bigint")
+
+
 def simulated_crop(chunks: DataFrame, order: list[str], size: str = "n_tokens", budget: int = P.TOKEN_BUDGET, buffer: int = P.PACK_BUFFER, streams: int = 64) -> DataFrame:
     """``stream``, ``cropped``, ``total``: the packing of each of ``streams`` loaders.
 

@@ -409,7 +409,7 @@ def page_skip_counts(spark, sf):
 
 @query()
 def crawl_skip_counts(spark, sf):
-    c = corpus(spark, sf).where("source = 'wikivir'")
+    c = corpus(spark, sf).where(T.source_name("source") == "wikivir")
     # The roster is a settings table; each row leaves out its own author.
     names = [r["name"] for r in _table(spark, sf, "author_cfg").select("name").distinct().orderBy("name").collect()]
     others = F.filter(F.array(*map(F.lit, names)), lambda n: ~n.eqNullSafe(F.col("author")))
@@ -466,7 +466,8 @@ def chunk_lengths(spark, sf):
 
 @query()
 def bestfit_crop(spark, sf):
-    return chunks.simulated_crop(_table(spark, sf, "chunk_doc").where("n_tokens is not null"), ["url", "chunk_index", "chunk_id"])
+    order = ["url", "chunk_index", "chunk_id"]
+    return chunks.simulated_crop(chunks.measured(_table(spark, sf, "chunk_doc"), *order), order)
 
 
 @query()
