@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .base import Memo, canonical_source, checkpointed, map_batches
-from .lexicon import EDGE, Lexicon, lexicon
+from .lexicon import EDGE, SHARE, Lexicon, lexicon
 
 #: What a unit may stand for: letters and signs of undamaged text beyond ASCII (fixed values).
 TARGETS = "čšžČŠŽ»«–—†…„“”’‚‘"
@@ -127,6 +127,35 @@ def _contexts(df: DataFrame, text: str, source: str) -> DataFrame:
     return rows.groupBy("source", "unit", "left", "right").agg(F.sum("n").alias("n"))
 
 
+def _foreign(df: DataFrame, text: str, source: str) -> DataFrame:
+    """``source``, ``word``, ``df``: in how many rows of a source a word with foreign characters stands; '' counts its rows with text."""
+
+    def make():
+        def step(sources, texts):
+            counts: Counter = Counter()
+            for s, t in zip(sources, texts):
+                if t:
+                    s = s or "?"
+                    counts[s, ""] += 1
+                    if not t.isascii() and _HAS.search(t):
+                        counts.update((s, w) for w in {x.strip(EDGE).lower() for x in t.split() if _HAS.search(x)} if w.isalpha())
+            keys = list(zip(*counts)) or [[]] * 2
+            return {"source": list(keys[0]), "word": list(keys[1]), "df": list(counts.values())}
+
+        return step
+
+    return map_batches(df.select(canonical_source(source).alias("source"), text), "source string, word string, df bigint", make).groupBy("source", "word").agg(F.sum("df").alias("df"))
+
+
+def elsewhere(rows: list[tuple[str, str, int]]) -> dict[tuple[str, str], float]:
+    """Of each source and word, the share of the other sources' rows that hold the word; none if there are no others."""
+    docs = {s: n for s, w, n in rows if not w}
+    total = Counter()
+    for _, w, n in rows:
+        total[w] += n
+    return {(s, w): (total[w] - n) / (total[""] - docs[s]) for s, w, n in rows if w and total[""] > docs[s]}
+
+
 def learn(rows: list[tuple[str, str, str, str, int]]) -> dict[str, dict[str, str]]:
     """Of each source, unit -> text it stands for, by expectation-maximization over ``rows``."""
     sides = sorted({x for _, _, a, b, _ in rows for x in (a, b)} | {" "})
@@ -190,17 +219,27 @@ def _parts(unit: str, seen: Counter, known: dict[str, set[str]]) -> list[str]:
     return best[-1] or [unit]
 
 
-def restorer(tables: dict[str, dict[str, str]], words: Lexicon):
-    """Function from (source, text) to (restored text, whether some of it was garbled)."""
+def restorer(tables: dict[str, dict[str, str]], words: Lexicon, others: dict[tuple[str, str], float] | None = None):
+    """Function from (source, text) to (restored text, whether some of it was garbled).
+
+    ``others`` gives the share of the other sources' rows that hold a form, as :func:`elsewhere` does: what a
+    whole source has garbled alike is rare there, so its frequency isn't taken for soundness.
+    """
+    others = others or {}
     known = _KNOWN
     single = {s: str.maketrans({u: t for u, t in table.items() if len(u) == 1}) for s, table in tables.items()}
 
     def core(token: str) -> str:
         return token.strip(EDGE).lower()
 
-    def better(raw: str, new: str) -> bool:
+    def weight(source: str, form: str) -> float:
+        """In how many documents a form stands, going by the other sources where it is rarer."""
+        n, share = words.get(form), others.get((source, form))
+        return n if share is None else min(n, share * words.docs)
+
+    def better(source: str, raw: str, new: str, proof: bool) -> bool:
         a, b = core(raw), core(new)
-        return len(b) > 1 and a != b and words.get(b) > 0 and words.get(b) >= RATIO * words.get(a)
+        return len(b) > 1 and a != b and words.get(b) > 0 and (proof or words.get(b) >= RATIO * weight(source, a))
 
     def mapped(source: str, token: str) -> str:
         table = tables.get(source, {})
@@ -219,14 +258,15 @@ def restorer(tables: dict[str, dict[str, str]], words: Lexicon):
     def fix(key: tuple[str, str]) -> tuple[str, int]:
         """The restored token and how far it shows garbling; 3 is proof."""
         source, token = key
-        if words.get(core(token)) > 50 * words.docs * 2e-4:
+        # A run of characters that only a code page swap makes is one whatever the word and however frequent.
+        proof = any(_swapped(m[0]) or len(m[0]) <= 64 and _utf8(m[0]) is not None for m in _UNIT.finditer(token))
+        if not proof and weight(source, core(token)) > 50 * words.docs * 2e-4:
             return token, 0
         new = mapped(source, token)
-        if new != token and better(token, new):
+        if new != token and better(source, token, new, proof):
             # Umlauts and a sharp s alone may also be letters that a scan misread.
-            return new, 1 if set(_HAS.findall(token)) <= _UMLAUTS else 3
-        # A run of characters that only a code page swap makes is one whatever the word.
-        if any(_swapped(m[0]) or len(m[0]) <= 64 and _utf8(m[0]) is not None for m in _UNIT.finditer(token)):
+            return new, 1 if not proof and set(_HAS.findall(token)) <= _UMLAUTS else 3
+        if proof:
             return new, 3
         return token, 3 * bool(_BROKEN.search(token))
 
@@ -302,7 +342,7 @@ def restored(df: DataFrame, key: str = "row_id", text: str = "text", source: str
 
     Text that can't be restored (letters lost to U+FFFD) stays as it is but counts as garbled. Null and
     empty texts come out unchanged, a null source is a source of its own; repeated rows are kept and an
-    empty table gives no rows. The texts are read three times (vocabulary, contexts, restoration) and
+    empty table gives no rows. The texts are read four times (vocabulary, contexts, foreign words by source, restoration) and
     never shuffled; tables sent to workers are bounded by SHARE and UNIT_SHARE.
     """
     vocabulary: Broadcast = lexicon(df, text)
@@ -311,9 +351,13 @@ def restored(df: DataFrame, key: str = "row_id", text: str = "text", source: str
     every = counted.groupBy("source", "unit").agg(F.sum("n").alias("_u"))
     rows = [tuple(r) for r in counted.join(_frequent(every), ["source", "unit"]).select("source", "unit", "left", "right", "n").collect()]
     tables = df.sparkSession.sparkContext.broadcast(learn(rows))
+    foreign = checkpointed(_foreign(df, text, source))
+    docs = foreign.where("word = ''").select("source", F.col("df").alias("_docs"))
+    kept = foreign.join(docs, "source").where((F.col("word") == "") | (F.col("df") >= SHARE * F.col("_docs"))).select("source", "word", "df")
+    others = df.sparkSession.sparkContext.broadcast(elsewhere([tuple(r) for r in kept.collect()]))
 
     def make():
-        restore = restorer(tables.value, vocabulary.value)
+        restore = restorer(tables.value, vocabulary.value, others.value)
 
         def step(keys, sources, texts):
             done = [restore(s, t) for s, t in zip(sources, texts)]
