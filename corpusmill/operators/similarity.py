@@ -207,8 +207,8 @@ def minhash_candidates(df: DataFrame, key: str, text: str = "text", permutations
         mins = [F.array_min(F.transform("shingles", _permuted(seed, b * rows + r))) for r in range(rows)]
         bands_.append(F.xxhash64(F.lit(b), *mins))
     buckets = checkpointed(sets.select(key, F.explode(F.array(*bands_)).alias("bucket")))
-    # In a bucket each set is linked to the least key: components stay whole without all pairs of a bucket.
-    least = buckets.groupBy("bucket").agg(F.min(key).alias("a"), F.count("*").alias("c")).where("c > 1")
-    return buckets.withColumnRenamed(key, "b").join(least, "bucket").where("a < b").select("a", "b").distinct()
-
-
+    # Equal sets are folded already; the pairs of a bucket are joined in blocks, so no task has all of them.
+    blocks = 8
+    left = buckets.select(F.col(key).alias("a"), "bucket", F.pmod(F.xxhash64(key), F.lit(blocks)).alias("_block"))
+    right = buckets.select(F.col(key).alias("b"), "bucket", F.explode(F.array(*(F.lit(i).cast("bigint") for i in range(blocks)))).alias("_block"))
+    return left.join(right, ["bucket", "_block"]).where("a < b").select("a", "b").distinct()
