@@ -45,7 +45,7 @@ def test_scan_repair(words):
 
 
 def test_markup():
-    clean = markup.cleaner(None)
+    clean = markup.cleaner()
     text, found = clean('<html><body><h2 class="a">Ura</h2><p>Mati &scaron;e <b>poje</b>.<br/>Da.</p><ul><li>ena</li></ul><pre><code>if a &lt; b:</code></pre></body></html>')
     assert found == ["html"] and "## Ura" in text and "Mati še poje.\nDa." in text and "- ena" in text and "```\nif a < b:\n```" in text
     text, found = clean("== Ura ==\n'''Mati''' [[Delo|poje]]. [[Kategorija:X]]\n{{pesem|\nverz\n}}")
@@ -58,10 +58,32 @@ def test_markup():
         assert clean(plain) == (plain, []), plain
 
 
-def test_content_paths():
-    table = [("text", 100, 50_000, 2000), ("p", 100, 20_000, 800), ("html/head/style", 50, 700, 40), ("html/head/title", 50, 600, 0)]
-    assert {"text", "p"} <= markup.content_paths(table) and not {"html/head/style", "html/head/title"} & markup.content_paths(table)
-    assert markup.content_paths([]) == {"text"}
+def test_dropped_paths():
+    table = [("text", 100, 50_000, 2000), ("html.p", 100, 20_000, 800), ("html.div/html.nav", 50, 700, 0), ("html.div/html.menu", 5, 60, 0), ("html.div", 40, 900, 30)]
+    assert markup.dropped_paths(table) == {"html.div/html.nav"}
+    assert markup.dropped_paths([]) == frozenset()
+
+
+def test_markup_keeps_the_words():
+    """Headings closed by a wrong tag, open paragraphs, fenced code, cells and items keep all their words."""
+    clean = markup.cleaner(frozenset({"html.body/html.h3", "html.body/html.div", "html.body", "text"}) - {"text"})
+    text, found = clean('<html><head><title>Naslov</title><style>p {color: red}</style></head><body><h3 class="a">Ura</h2><p>Mati <b>poje.<p>Kmet dela</b>.<ul><li>ena<li>dve</ul><table><tr><td>levo<td>desno</table><ol><li>prva</li><li>druga</li></ol></body></html>')
+    assert found == ["html"] and text == "### Ura\n\nMati poje.\n\nKmet dela.\n\n- ena\n- dve\n\nlevo | desno\n\n1. prva\n\n2. druga", text
+    text, found = clean("<body><div>\n```py\nx = 1\n```\n<nav>meni</nav></div>")
+    assert found == ["html", "markdown"] and "x = 1" in text
+    deep = "[[" * 9 + "jedro" + "]]" * 9 + " {{a|{{b|{{c|{{d|{{e|vsebina}}}}}}}}}} in \\textbf{" * 6 + "konec" + "}" * 6
+    text, found = clean(deep)
+    assert found == ["wiki", "latex"] and "jedro" in text and "vsebina" in text and "konec" in text and not set("[]{}\\") & set(text)
+    text, _ = clean("\\section{A}\nStane 50 % cene. % opomba\n\\neznano{x} \\textbf{y}")
+    assert "50 % cene." in text and "opomba" not in text and "\\neznano{x} y" in text
+    text, _ = clean("{{naslov|Ura|leto=1902}}\n{|\n! delo !! leto\n|-\n| style=\"a\"|Drama\n| 1884\n|}\n[[Slika:a.jpg|thumb|Podpis [[Delo|dela]]]]\n[[Kategorija:X]]")
+    assert text.startswith("# Ura 1902") and "delo | leto\nDrama | 1884" in text and "Podpis dela" in text and "Kategorija" not in text
+
+
+def test_navigation_goes_by_its_ratio(spark):
+    rows = [(i, f"<div><nav><a>Domov</a> <a>Iskanje {i}</a></nav></div><p>{USUAL}</p><div>{USUAL}</div>") for i in range(40)]
+    got = [r["text"] for r in markup.clean_markup(spark.createDataFrame(rows, "row_id bigint, text string")).collect()]
+    assert all("Iskanje" not in t and t.count("Mati je") == 2 for t in got)
 
 
 def garbled_rows():
