@@ -308,7 +308,7 @@ def _wiki(text: str, sink: _Sink, numbered: bool) -> str:
             return node("wiki.picture", next((p for p in reversed(parts) if not _PLACING.fullmatch(p)), ""))
         return node("wiki.link", (parts or [head])[-1])
 
-    text = _until_done(r"\[\[((?:(?!\[\[|\]\])[^\n])*)\]\]", link, text)
+    text = _until_done(r"\[\[(?!\[)((?:(?!\[\[|\]\])[^\n])*)\]\]", link, text)
     text = re.sub(r"\[(?:https?|ftp)://\S+ ([^\]\n]*)\]", lambda m: node("wiki.link", m[1]), text)
     text = re.sub(r"^(={1,6})[ \t]*([^=\n].*?)[ \t]*\1[ \t]*$", lambda m: node("wiki.heading", "#" * len(m[1]) + " " + m[2]), text, flags=re.M)
     if numbered:

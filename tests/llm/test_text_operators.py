@@ -71,7 +71,7 @@ def test_markup_keeps_the_words():
     assert found == ["html"] and text == "### Ura\n\nMati poje.\n\nKmet dela.\n\n- ena\n- dve\n\nlevo | desno\n\n1. prva\n\n2. druga", text
     text, found = clean("<body><div>\n```py\nx = 1\n```\n<nav>meni</nav></div>")
     assert found == ["html", "markdown"] and "x = 1" in text
-    deep = "[[" * 9 + "jedro" + "]]" * 9 + " {{a|{{b|{{c|{{d|{{e|vsebina}}}}}}}}}} in \\textbf{" * 6 + "konec" + "}" * 6
+    deep = "[[" * 9 + "jedro" + "]]" * 9 + " {{a|{{b|{{c|{{d|{{e|vsebina}}}}}}}}}} in " + "\\textbf{" * 6 + "konec" + "}" * 6
     text, found = clean(deep)
     assert found == ["wiki", "latex"] and "jedro" in text and "vsebina" in text and "konec" in text and not set("[]{}\\") & set(text)
     text, _ = clean("\\section{A}\nStane 50 % cene. % opomba\n\\neznano{x} \\textbf{y}")
