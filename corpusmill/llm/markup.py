@@ -24,7 +24,7 @@ from .base import map_batches
 #: Paths of the ratio table are cut to this many blocks of the known names below, so the table is bounded.
 DEPTH = 4
 #: A path goes if its fused ratio is under this share of the text-weighted mean ratio.
-CONTENT_SHARE = 0.03
+CONTENT_SHARE = 0.05
 #: Nodes a path must have in the corpus before its ratio is judged; weight of its parent's ratio, in nodes.
 LEAST_NODES, SMOOTH = 20, 5.0
 
@@ -400,8 +400,9 @@ def dropped_paths(table: list[tuple[str, int, int, int]]) -> frozenset[str]:
         _, pc, pu = own.get(path.rpartition("/")[0] or "text", (0, c, u))
         w = n / (n + SMOOTH)
         fused[path] = math.sqrt((w * c + (1 - w) * pc) * (0.05 + w * u + (1 - w) * pu))
-    weight = sum(c for _, _, c, _ in table) or 1
-    mean = sum(fused[p] * c for p, n, c, _ in table if n) / weight
+    # Text between constructs is no node of theirs and sets no measure.
+    inside = [(p, c) for p, n, c, _ in table if n and p != "text"]
+    mean = sum(fused[p] * c for p, c in inside) / (sum(c for _, c in inside) or 1)
     return frozenset(p for p, f in fused.items() if f < CONTENT_SHARE * mean and own[p][0] >= LEAST_NODES) - {"text"}
 
 
