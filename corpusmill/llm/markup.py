@@ -24,7 +24,7 @@ from .base import map_batches
 #: Paths of the ratio table are cut to this many blocks of the known names below, so the table is bounded.
 DEPTH = 4
 #: A path goes if its fused ratio is under this share of the text-weighted mean ratio.
-CONTENT_SHARE = 0.05
+CONTENT_SHARE = 0.08
 #: Nodes a path must have in the corpus before its ratio is judged; weight of its parent's ratio, in nodes.
 LEAST_NODES, SMOOTH = 20, 5.0
 
@@ -39,7 +39,9 @@ _VOID = frozenset("br hr img input link meta base col wbr param source".split())
 _BLOCK = frozenset("address article aside blockquote body center dd div dl dt figure footer form head header hr html main nav ol p section table tr ul title style script tbody thead caption poem".split())
 _HEADINGS = frozenset("html.h1 html.h2 html.h3 html.h4 html.h5 html.h6".split())
 #: Elements within a line: their text belongs to the block around them (fixed values).
-_INLINE = frozenset(f"html.{t}" for t in "a abbr b big cite code del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var".split())
+_INLINE = frozenset(f"html.{t}" for t in "a abbr b big cite code del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var".split()) | frozenset(
+    "wiki.link wiki.quotes wiki.word wiki.category latex.command latex.accent latex.line latex.math markdown.strong markdown.em markdown.link".split()
+)
 #: Elements that no browser shows (fixed values).
 _HIDDEN = frozenset("html.head html.style html.script".split())
 #: Elements that hold no running text; inside them every node is judged by its ratio (fixed values).

@@ -81,7 +81,7 @@ def test_markup_keeps_the_words():
 
 
 def test_navigation_goes_by_its_ratio(spark):
-    rows = [(i, f"<div><nav><a>Domov</a> <a>Iskanje {i}</a></nav></div><p>{USUAL}</p><div>{USUAL}</div>") for i in range(40)]
+    rows = [(i, f"<div><nav><a>Domov</a> <a>Iskanje {i}</a></nav></div><p>{USUAL}</p><div>{USUAL}</div>") for i in range(400)]
     got = [r["text"] for r in markup.clean_markup(spark.createDataFrame(rows, "row_id bigint, text string")).collect()]
     assert all("Iskanje" not in t and t.count("Mati je") == 2 for t in got)
 
