@@ -3,21 +3,26 @@
 Pigeonhole edit matching: a passage of 25 words or more with at most one word in ten differing has a
 run of 7 equal words, and so an aligned piece of 4. The pieces of all works are one Aho-Corasick
 automaton, run over the folded character stream of each document, in which case, diacritics,
-punctuation, spacing and the usual damage make no difference. Around exact hits a passage is verified
-with Myers' bit-parallel distance, then word by word.
+punctuation, spacing and the usual damage make no difference. Around a run of hits the stream is read
+as words of the work, and Myers' bit-parallel distance, counted in words, decides: a passage of 25 words
+may be 2 from the text, one of 30 may be 3, one of 40 may be 4. Every longer passage holds one of these.
 """
 
 from __future__ import annotations
 
+import bisect
+import hashlib
 import html
+import itertools
 import re
 import unicodedata
 from collections import defaultdict
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .base import Memo, map_batches
+from .base import Memo, checkpointed, map_batches
 from .encoding import _HAS as _FOREIGN
 from .encoding import _IMAGES, _KNOWN
 from .lookalikes import _UNUSUAL, by_table
@@ -27,8 +32,10 @@ from .scans import MARKS, furniture
 PASSAGE, DIFFER, PIECE = 25, 0.1, 4
 #: Equal words in a row that any such passage has.
 RUN = 7
-#: Works sent to workers at once; more are matched in as many passes.
-WORKS_AT_ONCE = 2000
+#: Words of the passages that decide and how many of them may differ.
+SIZES = tuple((n, int(n * DIFFER)) for n in (PASSAGE, 30, 40))
+#: Code points of works sent to workers at once; more are matched in as many passes over the folded texts.
+GROUP_CHARS = 8_000_000
 
 _DIVISION = re.compile(rf"(?<=[^\W\d_])[{MARKS}] ?\n\s*(?=[^\W\d_])")
 _TAG = re.compile(r"</?[A-Za-z][^<>]*>|<!--.*?-->", re.S)
@@ -112,29 +119,29 @@ def plain_text(text: str) -> str:
 
 
 class Works:
-    """Folded words of held-out works, their streams, and the automaton of their pieces."""
+    """Folded words of held-out works, their streams, and the automaton of their pieces.
 
-    def __init__(self, works: list[tuple[int, str]]):
+    A work is one (id, text): an id that is repeated with other texts is as many works.
+    """
+
+    def __init__(self, works: list[tuple[object, str]]):
         import ahocorasick
 
-        self.words: dict[int, list[str]] = {}
-        self.starts: dict[int, list[int]] = {}
-        self.streams: dict[int, str] = {}
+        self.items: list[object] = []
+        self.words: list[list[str]] = []
+        self.starts: list[list[int]] = []
         places: dict[str, list[tuple[int, int]]] = defaultdict(list)
+        seen = set()
         for item, text in works:
             words = [w for w in map(fold_word, plain_text(text or "").split()) if w]
-            starts, at = [], 0
-            for w in words:
-                starts.append(at)
-                at += len(w)
-            old = self.words.get(item)
-            if old is not None:
-                # A repeated id is one work per distinct text.
-                if old == words:
-                    continue
-            self.words[item], self.starts[item], self.streams[item] = words, starts, "".join(words)
+            if len(words) < PASSAGE or (item, *words) in seen:
+                continue
+            seen.add((item, *words))
+            self.items.append(item)
+            self.words.append(words)
+            self.starts.append([0, *itertools.accumulate(map(len, words))])
             for i in range(0, len(words) - PIECE + 1, PIECE):
-                places["".join(words[i : i + PIECE])].append((item, i))
+                places["".join(words[i : i + PIECE])].append((len(self.items) - 1, i))
         self.automaton = ahocorasick.Automaton()
         for piece, where in places.items():
             self.automaton.add_word(piece, (len(piece), where))
@@ -143,12 +150,26 @@ class Works:
         self.any = bool(places)
 
 
-def myers(pattern: str, text: str) -> int:
-    """Least edit distance of ``pattern`` to any part of ``text``, bit-parallel over the pattern."""
+#: The works a worker process matched last, by their digest: the automaton is built once per process.
+_built: dict[str, Works] = {}
+
+
+def built(digest: str, works: list[tuple[object, str]]) -> Works:
+    if digest not in _built:
+        _built.clear()
+        _built[digest] = Works(works)
+    return _built[digest]
+
+
+def myers(pattern: Sequence, text: Sequence, most: int = -1) -> int:
+    """Least edit distance of ``pattern`` to any part of ``text``, bit-parallel over the pattern.
+
+    Both are sequences of any symbols, characters or words. Stops once the distance is ``most`` or less.
+    """
     m = len(pattern)
     if not m:
         return 0
-    peq: dict[str, int] = {}
+    peq: dict = {}
     for i, c in enumerate(pattern):
         peq[c] = peq.get(c, 0) | 1 << i
     mask, high = (1 << m) - 1, 1 << m - 1
@@ -164,160 +185,200 @@ def myers(pattern: str, text: str) -> int:
             score += 1
         elif mh & high:
             score -= 1
+            if score < best:
+                best = score
+                if best <= most:
+                    return best
         ph = ph << 1 & mask
         mh = mh << 1 & mask
         pv = mh | ~(xv | ph) & mask
         mv = ph & xv
-        best = min(best, score)
     return best
 
 
-def _walk(words: list[str], starts: list[int], stream: str, i: int, shift: int, step: int, marks: dict[int, int], extra: dict[int, int]) -> None:
-    """Follow the words of a work along ``stream`` from word ``i``; stops where 4 words in a row fail.
+def as_words(stream: str, ends: Sequence[int], words: set[str]) -> list[str | None]:
+    """``stream`` read as ``words`` wherever it can be; None is any other word.
 
-    ``marks`` gets 1 for an equal word and 0 for another, ``extra`` the words that stand between.
+    One dynamic program over the characters, with the fewest other words; of equals the one whose words
+    agree best with the tokens of the text, which end at ``ends``. Blanks inside a word and between words
+    that stand together therefore don't count.
     """
-    failed = 0
-    n = len(words)
-    while 0 <= i < n and failed < 4:
-        at = starts[i] + shift
-        w = words[i]
-        if 0 <= at and stream.startswith(w, at):
-            marks[i] = 1
-            failed = 0
-            i += step
+    n = len(stream)
+    heads: dict[str, list[str]] = defaultdict(list)
+    for w in words:
+        heads[w[:2]].append(w)
+    border = {0, *ends}
+    #: Cost of another word, of a word, of an end inside a token.
+    other, known, inside = 1.0, 0.001, 0.12
+    cost = [0.0] + [float("inf")] * n
+    back: list[tuple[int, str | None]] = [(0, None)] * (n + 1)
+    stops = sorted({*ends, n})
+    for at in range(n):
+        here = cost[at]
+        if here == float("inf"):
             continue
-        # Look for it nearby, with the next word or by itself; a shift of a sign or two is damage, not a word.
-        expected = starts[i] + shift
-        j = i + step
-        moved = None
-        if 0 <= j < n:
-            a, b = min(i, j), max(i, j)
-            both, first = words[a] + words[b], starts[a] + shift
-            low, high = (first - 4, first + 40) if step > 0 else (first - 40, first + 4)
-            if len(both) > 5 and (found := stream.find(both, max(0, low), max(0, high) + len(both))) >= 0:
-                moved = found - first
-        if moved is None and len(w) > 3:
-            low, high = max(0, expected - 18), max(0, expected + 18 + len(w))
-            places = [p.start() for p in re.finditer(re.escape(w), stream[low:high])]
-            if places:
-                moved = min((low + p - expected for p in places), key=abs)
-        if moved is not None:
-            shift += moved
-            if failed == 0 and abs(moved) > 2:
-                extra[i] = extra.get(i, 0) + 1 + abs(moved) // 12
-            marks[i] = 1
-            failed = 0
+        for w in (*heads.get(stream[at : at + 2], ()), *(heads.get(stream[at], ()) if at + 1 < n else ())):
+            if stream.startswith(w, at):
+                to = at + len(w)
+                more = here + known + (0.0 if to in border or to == n else inside)
+                if more < cost[to]:
+                    cost[to], back[to] = more, (at, w)
+        # Another word goes on to its token's end, or to a place inside it where a word may begin.
+        end = stops[bisect.bisect_right(stops, at)]
+        for to in (end, *range(at + 1, min(end, at + 30))):
+            more = here + other + (0.0 if to == end else inside)
+            if more < cost[to]:
+                cost[to], back[to] = more, (at, None)
+    out, at = [], n
+    while at:
+        at, w = back[at][0], back[at][1]
+        out.append(w)
+    return out[::-1]
+
+
+class Text:
+    """Folded tokens of a text and their stream."""
+
+    def __init__(self, tokens: list[str]):
+        self.tokens = tokens
+        self.stream = "".join(tokens)
+        self._ends: list[int] | None = None
+
+    @property
+    def ends(self) -> list[int]:
+        if self._ends is None:
+            self._ends = list(itertools.accumulate(map(len, self.tokens)))
+        return self._ends
+
+    def reach(self, at: int, need: int, step: int) -> int:
+        """Place so far from ``at`` that ``need`` characters lie between, not counting the longest words that may differ."""
+        spare: list[int] = []
+        i = bisect.bisect_right(self.ends, at) if step > 0 else bisect.bisect_left(self.ends, at)
+        got = 0
+        while 0 <= i < len(self.tokens):
+            size = len(self.tokens[i])
+            bisect.insort(spare, size)
+            if len(spare) > SIZES[-1][1]:
+                got += spare.pop(0)
+            if got >= need:
+                break
             i += step
-            continue
-        if marks.get(i) != 1:
-            marks[i] = 0
-        failed += 1
-        i += step
+        i = min(max(i, 0), len(self.tokens) - 1)
+        return self.ends[i] if step > 0 else self.ends[i] - len(self.tokens[i])
 
 
-def holds_passage(works: Works, item: int, stream: str, hits: list[tuple[int, int]]) -> bool:
-    """Whether ``stream`` holds a passage of ``item``; hits are (word of the item, place in the stream)."""
-    words, starts, whole = works.words[item], works.starts[item], works.streams[item]
-    n = len(words)
+def holds_passage(words: list[str], starts: list[int], text: Text, hits: list[tuple[int, int]]) -> bool:
+    """Whether ``text`` holds a passage of a work; hits are (word of the work, place in the stream)."""
+    n, stream = len(words), text.stream
     done: list[tuple[int, int, int]] = []
     for i, at in hits:
         shift = at - starts[i]
-        if any(a <= i <= b and abs(shift - s) <= 2 for a, b, s in done):
+        if any(a <= i < b and shift == s for a, b, s in done):
             continue
-        # Equal signs on both sides of the hit: a run of RUN words must be among them.
+        # Equal words on both sides of the hit: a run of RUN of them must be in any passage.
         a = b = i
         while a > 0 and starts[a - 1] + shift >= 0 and stream.startswith(words[a - 1], starts[a - 1] + shift):
             a -= 1
         while b < n and stream.startswith(words[b], starts[b] + shift):
             b += 1
         done.append((a, b, shift))
+        if b - a >= PASSAGE:
+            return True
         if b - a < RUN:
             continue
-        # Distance of the passage's surroundings: no farther than the words that may differ are long.
-        left, right = max(0, a - PASSAGE + (b - a)), min(n, b + PASSAGE - (b - a))
-        if b - a < PASSAGE:
-            end = starts[right - 1] + len(words[right - 1])
-            near = min(
-                (_passage_distance(whole, starts, words, k, stream, shift) for k in range(max(0, b - PASSAGE), min(a, n - PASSAGE) + 1, 2)),
-                default=10**9,
-            ) if n >= PASSAGE and end > starts[left] else 10**9
-            if near > 40:
-                continue
-        marks: dict[int, int] = {k: 1 for k in range(a, b)}
-        extra: dict[int, int] = {}
-        _walk(words, starts, stream, b, shift, 1, marks, extra)
-        _walk(words, starts, stream, a - 1, shift, -1, marks, extra)
-        if _window(marks, extra):
-            return True
-    return False
-
-
-def _passage_distance(whole: str, starts: list[int], words: list[str], k: int, stream: str, shift: int) -> int:
-    end = starts[k + PASSAGE - 1] + len(words[k + PASSAGE - 1])
-    return myers(whole[starts[k] : end], stream[max(0, starts[k] + shift - 40) : end + shift + 40])
-
-
-def _window(marks: dict[int, int], extra: dict[int, int]) -> bool:
-    """Whether some 25 to 49 consecutive words differ in at most one of ten; longer passages hold such."""
-    first, last = min(marks), max(marks)
-    cost = [0]
-    for i in range(first, last + 1):
-        cost.append(cost[-1] + (1 - marks.get(i, 0)) + extra.get(i, 0))
-    m = last - first + 1
-    for size in range(PASSAGE, 2 * PASSAGE):
-        most = int(size * DIFFER)
-        for a in range(0, m - size + 1):
-            if cost[a + size] - cost[a] - extra.get(first + a, 0) <= most:
+        size = SIZES[-1][0]
+        low, high = max(0, b - size), min(n, a + size)
+        first = text.reach(starts[a] + shift, starts[a] - starts[low], -1) if low < a else starts[a] + shift
+        last = text.reach(starts[b] + shift, starts[high] - starts[b], 1) if high > b else starts[b] + shift
+        first, last = min(first, starts[a] + shift), max(last, starts[b] + shift)
+        # A word that stands nowhere around costs 1 in any reading: most windows are out by their number.
+        part = stream[first:last]
+        lacking = [0, *itertools.accumulate(w not in part for w in words[low:high])]
+        windows = [(size, most, k) for size, most in SIZES for k in range(max(low, b - size), min(a, high - size) + 1) if lacking[k + size - low] - lacking[k - low] <= most]
+        if windows:
+            ends = text.ends[bisect.bisect_right(text.ends, first) : bisect.bisect_right(text.ends, last)]
+            read = as_words(part, [e - first for e in ends], set(words[low:high]))
+            there = set(read)
+            if any(sum(w not in there for w in words[k : k + size]) <= most and myers(words[k : k + size], read, most) <= most for size, most, k in windows):
                 return True
     return False
 
 
 def finder(works: Works):
-    """Function from a text to the ids of the works of which it holds a passage."""
-    fold = Memo(fold_word)
+    """Function from folded tokens to the ids of the works of which they hold a passage."""
 
-    def find(text: str | None) -> list[int]:
-        if not text or not works.any:
+    def find(tokens: list[str]) -> list:
+        if not tokens or not works.any:
             return []
-        stream = "".join([fold[t] if len(t) < 64 else fold_word(t) for t in plain_text(text).split()])
+        text = Text(tokens)
         hits: dict[int, list[tuple[int, int]]] = {}
-        for end, (size, where) in works.automaton.iter(stream):
-            for item, i in where:
-                hits.setdefault(item, []).append((i, end - size + 1))
-        return sorted(item for item, found in hits.items() if holds_passage(works, item, stream, found))
+        for end, (size, where) in works.automaton.iter(text.stream):
+            for w, i in where:
+                hits.setdefault(w, []).append((i, end - size + 1))
+        return sorted({works.items[w] for w, found in hits.items() if holds_passage(works.words[w], works.starts[w], text, found)})
 
     return find
 
 
-def leaks(corpus: DataFrame, works: DataFrame, manifest: DataFrame | None = None, item: str = "item_id", key: str = "row_id", url: str = "url", text: str = "text") -> DataFrame:
+def folder():
+    """Function from a text to its folded tokens."""
+    fold = Memo(fold_word)
+
+    def tokens(text: str | None) -> list[str]:
+        return [w for t in plain_text(text).split() if (w := fold[t] if len(t) < 64 else fold_word(t))] if text else []
+
+    return tokens
+
+
+def _groups(rows, most: int):
+    """Works in groups of ``most`` code points, or of one longer work."""
+    group, size = [], 0
+    for item, text in rows:
+        if group and size + len(text) > most:
+            yield group
+            group, size = [], 0
+        group.append((item, text))
+        size += len(text)
+    if group:
+        yield group
+
+
+def leaks(corpus: DataFrame, works: DataFrame, manifest: DataFrame | None = None, item: str = "item_id", key: str = "row_id", url: str = "url", text: str = "text", group_chars: int = GROUP_CHARS) -> DataFrame:
     """Distinct ``item``, ``key``: rows of ``corpus`` that training uses and the works that leaked into them.
 
     Rows at a url of ``works`` or of ``manifest.also_exclude_urls`` are left out first; a null url isn't
     among them. Null and empty texts hold nothing, works under 25 words can't leak, an empty table of
-    works gives no rows; repeated rows are judged one by one. ``works`` is a frozen set: it goes to
-    workers in groups of ``WORKS_AT_ONCE``, so what is sent at once is bounded.
+    works gives no rows; repeated rows are judged one by one, an id with several texts leaks by any of them.
+    ``works`` is a frozen set: it is streamed through the driver and goes to workers in groups of
+    ``group_chars`` code points. The corpus is read and folded once; with more than one group its folded
+    tokens are written, and each group is matched over those.
     """
     urls = works.select(F.col(url).alias("_u"))
     if manifest is not None:
         urls = urls.unionByName(manifest.select(F.explode("also_exclude_urls").alias("_u")))
     used = corpus.join(urls.where("_u is not null").distinct(), F.col(url) == F.col("_u"), "left_anti").select(key, text)
-    found = None
     kinds = works.schema[item].dataType.simpleString(), corpus.schema[key].dataType.simpleString()
-    rows = works.where(F.col(text).isNotNull() & F.col(item).isNotNull()).select(item, text).orderBy(item, text)
-    groups: list[list[tuple[int, str]]] = [[]]
-    for row in rows.toLocalIterator():
-        if len(groups[-1]) == WORKS_AT_ONCE:
-            groups.append([])
-        groups[-1].append((row[0], row[1]))
-    for group in groups:
-        sent = corpus.sparkSession.sparkContext.broadcast(group)
-
-        def make(sent=sent):
-            find = finder(Works(sent.value))
+    rows = works.where(F.col(text).isNotNull() & F.col(item).isNotNull()).select(item, text).distinct().orderBy(item, text)
+    groups = _groups(((r[0], r[1]) for r in rows.toLocalIterator()), group_chars)
+    context = corpus.sparkSession.sparkContext
+    sent = [(context.broadcast(g), hashlib.sha256(repr(g).encode("utf-8", "surrogatepass")).hexdigest()) for g in groups]
+    many = len(sent) > 1
+    if many:
+
+        def fold_all():
+            fold = folder()
+            return lambda keys, texts: {key: keys, "tokens": [" ".join(fold(t)) for t in texts]}
+
+        used = checkpointed(map_batches(used, f"{key} {kinds[1]}, tokens string", fold_all))
+    found = None
+    for group, digest in sent or [(context.broadcast([]), "")]:
+
+        def make(group=group, digest=digest):
+            find = finder(built(digest, group.value))
+            tokens = str.split if many else folder()
 
             def step(keys, texts):
-                pairs = [(i, k) for k, t in zip(keys, texts) for i in find(t)]
+                pairs = [(i, k) for k, t in zip(keys, texts) for i in find(tokens(t))]
                 return {item: [p[0] for p in pairs], key: [p[1] for p in pairs]}
 
             return step
