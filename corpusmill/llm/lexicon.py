@@ -63,6 +63,16 @@ class Lexicon:
     def __init__(self, words: dict[str, int], docs: int):
         self.words, self.docs = words, docs
 
+    def once(self, make):
+        """``make(self)``, made once per worker process: a broadcast lexicon stays in the process between tasks."""
+        made = self.__dict__.setdefault("_made", {})
+        if make not in made:
+            made[make] = make(self)
+        return made[make]
+
+    def __getstate__(self):
+        return {"words": self.words, "docs": self.docs}
+
     def __contains__(self, word: str) -> bool:
         return word in self.words
 

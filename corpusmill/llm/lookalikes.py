@@ -92,7 +92,9 @@ class Trie:
             whole = unicodedata.normalize("NFC", text[at:end])
             if whole in node:
                 states.append((node[whole], end, cost))
-            if cost + DIACRITIC_COST <= BUDGET:
+            if cost + DIACRITIC_COST <= BUDGET and _OTHER.match(c):
+                states += ((node[other], end, cost + DIACRITIC_COST) for other in node if other)
+            elif cost + DIACRITIC_COST <= BUDGET:
                 if end > at + 1 and c in node:
                     states.append((node[c], end, cost + DIACRITIC_COST))
                 for other in node:
@@ -110,22 +112,24 @@ def _cased(model: str, word: str) -> str:
 
 def normalizer(words: Lexicon):
     """Function from a text to (its one form, whether it has the marks of problem 6)."""
-    trie = Trie(words)
+    trie = words.once(Trie)
 
     def word(match: re.Match) -> str:
         raw = match[0]
         form = by_table(raw)
         # Words of one script in usual characters stand as they are.
-        if form == raw:
+        if form == raw and not mixed(raw):
             return raw
-        found = trie.spell(raw.lower())
+        # Whole words of another script aren't spelled in this one.
+        found = trie.spell(raw.lower()) if _LATIN.search(form) else None
         if found and found != form.lower() and form.lower() in words:
             return form
         return _cased(form, found) if found else form
 
     def token(raw: str) -> tuple[str, bool]:
-        clean = _WORD.sub(word, unicodedata.normalize("NFC", _BLANK.sub(" ", raw)))
-        return by_table(clean), marked(raw)
+        clean = by_table(_WORD.sub(word, unicodedata.normalize("NFC", _BLANK.sub(" ", raw))))
+        # Changed or not to be resolved: only such tokens are checked for the marks.
+        return clean, (clean != raw or any(mixed(w) for w in _WORD.findall(clean))) and marked(raw)
 
     memo = Memo(token)
 

@@ -3,8 +3,8 @@
 Balanced targets: the smallest number of pieces that can hold an item gives equally spaced cuts; each
 is moved to the strongest boundary near it, nearest first among equals. If that leaves a cut without a
 natural boundary, one more piece is tried, up to ``EXTRA`` times. If that isn't enough, the text is cut
-anew from its start, and a piece ends early wherever else a cut would be forced; a cut is then forced
-only where its piece has no natural boundary at all.
+anew from its start, and pieces are added wherever else a cut would be forced; a cut is then forced only
+where no natural boundary is left within a piece's reach, so no way of cutting has fewer forced cuts.
 """
 
 from __future__ import annotations
@@ -39,9 +39,15 @@ def _snap(text: str, low: int, high: int, target: int, reach: int) -> tuple[int,
             if ends:
                 return min(ends, key=lambda e: (abs(e - target), e)), True
     cut = min(max(target, low), high)
-    while cut > low and unicodedata.combining(text[cut : cut + 1] or " "):
-        cut -= 1
-    return cut, False
+    return _whole(text, low, cut), False
+
+
+def _whole(text: str, low: int, cut: int) -> int:
+    """``cut`` moved before the character whose combining marks follow it, if that is beyond ``low``."""
+    at = cut
+    while at > low and unicodedata.combining(text[at : at + 1] or " "):
+        at -= 1
+    return cut if at == low else at
 
 
 def _cuts(text: str, k: int, limit: int, overlap: int) -> tuple[list[int], int]:
@@ -77,23 +83,24 @@ def _walk(text: str, limit: int, overlap: int) -> tuple[list[int], int]:
         target = start + overlap + round((n - start - overlap) / (left + 1))
         cut, natural = _snap(text, low, high, min(max(target, low), high), int(REACH * stride))
         if not natural and least < low:
-            early, natural = _snap(text, least, high, high, int(REACH * stride))
-            cut = early if natural else cut
+            cut, natural = _snap(text, least, high, high, int(REACH * stride))
+        if not natural:
+            # Nothing is gained by an earlier place inside the same word.
+            cut = _whole(text, least, high)
         forced += not natural
         ends.append(cut)
 
 
-def split(text: str | None, limit: int = LIMIT, overlap: int = OVERLAP) -> tuple[list[tuple[int, int]], str | None]:
-    """Spans of the pieces of ``text`` and how it was cut.
+def split(text: str | None, limit: int = LIMIT, overlap: int = OVERLAP) -> tuple[list[tuple[int, int]], int]:
+    """Spans of the pieces of ``text`` and how many cuts had to be forced.
 
-    An item within the limit is one piece, cut None; null and empty items have no pieces. ``forced``
-    means that some run without whitespace is longer than the limit, else the cut is ``natural``.
+    An item within the limit is one piece; null and empty items have no pieces.
     """
     if not text:
-        return [], None
+        return [], 0
     n = len(text)
     if n <= limit:
-        return [(0, n)], None
+        return [(0, n)], 0
     least = 1 + -(-(n - limit) // (limit - overlap))
     best = None
     for k in range(least, least + EXTRA + 1):
@@ -104,16 +111,23 @@ def split(text: str | None, limit: int = LIMIT, overlap: int = OVERLAP) -> tuple
             break
     if best[1] and (walked := _walk(text, limit, overlap))[1] < best[1]:
         best = walked
-    ends = best[0]
-    spans = [(max(0, a - overlap), b) for a, b in zip([0, *ends], ends)]
-    return spans, "forced" if longest_run(text) > limit else "natural"
+    ends, forced = best
+    return [(max(0, a - overlap), b) for a, b in zip([0, *ends], ends)], forced
+
+
+def named(text: str, forced: int, limit: int = LIMIT) -> str:
+    """``forced`` if a cut was and, by an exact check, a run without whitespace is longer than the limit; else ``natural``.
+
+    A run a little shorter than the limit may need a forced cut too, as pieces repeat the end of the one before.
+    """
+    return "forced" if forced and longest_run(text) > limit else "natural"
 
 
 def pieces(df: DataFrame, key: str = "chunk_id", text: str = "text", limit: int = LIMIT, overlap: int = OVERLAP, path: str | None = None) -> DataFrame:
     """Pieces of the rows of ``df`` over ``limit`` code points; rows within it, empty and null ones give none.
 
-    Columns: ``key``, ``piece`` (from 0), ``n_pieces``, ``cut``, ``char_start``, ``char_end`` (within the
-    item, end exclusive), ``text``, ``n_chars``, ``n_tokens`` (of byte_bpe_50k). Stored sizes are not
+    Columns: ``key``, ``piece`` (from 0), ``n_pieces``, ``cut``, ``forced_cuts`` (of the item), ``char_start``,
+    ``char_end`` (within the item, end exclusive), ``text``, ``n_chars``, ``n_tokens`` (of byte_bpe_50k). Stored sizes are not
     trusted. Repeated rows are split like any other. No shuffle: an item is cut where it is read.
     """
 
@@ -121,18 +135,19 @@ def pieces(df: DataFrame, key: str = "chunk_id", text: str = "text", limit: int
         count = counter(path)
 
         def step(keys, texts):
-            out = {c: [] for c in (key, "piece", "n_pieces", "cut", "char_start", "char_end", "text", "n_chars", "n_tokens")}
+            out = {c: [] for c in (key, "piece", "n_pieces", "cut", "forced_cuts", "char_start", "char_end", "text", "n_chars", "n_tokens")}
             for k, t in zip(keys, texts):
-                if t is None or len(t) <= limit:
+                spans, forced = split(t, limit, overlap)
+                if len(spans) < 2:
                     continue
-                spans, cut = split(t, limit, overlap)
+                cut = named(t, forced, limit)
                 for i, (a, b) in enumerate(spans):
-                    for c, v in zip(out, (k, i, len(spans), cut, a, b, t[a:b], b - a, count(t[a:b]))):
+                    for c, v in zip(out, (k, i, len(spans), cut, forced, a, b, t[a:b], b - a, count(t[a:b]))):
                         out[c].append(v)
             return out
 
         return step
 
     kind = df.schema[key].dataType.simpleString()
-    schema = f"{key} {kind}, piece int, n_pieces int, cut string, char_start bigint, char_end bigint, text string, n_chars bigint, n_tokens bigint"
+    schema = f"{key} {kind}, piece int, n_pieces int, cut string, forced_cuts int, char_start bigint, char_end bigint, text string, n_chars bigint, n_tokens bigint"
     return map_batches(df.select(key, text), schema, make)

@@ -113,6 +113,7 @@ def test_lookalikes(words):
     assert one("Mati\xa0je") == ("Mati je", True) and one("ognǉivega")[1] and one("ﬁ")[0] == "fi"
     for usual in ("beseda книга in λόγος", "co\xadop ½ x² … „a“ – —", "Straße façade", "नमस्ते", "日本語"):
         assert one(usual)[1] is False, usual
+    assert one("hi\u0429o") == ("hišo", True) and one("\u0429xq")[1] is True
     twice, _ = one(one("Рočаsі je реlа")[0])
     assert twice == one("Рočаsі je реlа")[0] == "Počasi je pela"
 
@@ -121,14 +122,14 @@ def test_splitting():
     r = random.Random(4)
     for _ in range(60):
         text = "".join(r.choice(["beseda ", "stavek. ", "vrsta\n", "\n\n", "x" * r.randint(1, 900)]) for _ in range(r.randint(1, 400)))
-        spans, cut = splitting.split(text)
+        spans, forced = splitting.split(text)
         assert spans[0][0] == 0 and spans[-1][1] == len(text) and all(b - a <= 1500 for a, b in spans)
         assert all(s[0] == p[1] - 100 and s[1] > p[1] for p, s in zip(spans, spans[1:]))
         if len(text) > 1500:
-            assert cut == ("forced" if splitting.longest_run(text) > 1500 else "natural")
-    assert splitting.split(None) == ([], None) and splitting.split("") == ([], None) and splitting.split("a" * 1500) == ([(0, 1500)], None)
-    spans, cut = splitting.split("a" * 5000)
-    assert cut == "forced" and len(spans) == 4
+            assert splitting.named(text, forced) == ("forced" if splitting.longest_run(text) > 1500 else "natural")
+    assert splitting.split(None) == ([], 0) and splitting.split("") == ([], 0) and splitting.split("a" * 1500) == ([(0, 1500)], 0)
+    spans, forced = splitting.split("a" * 5000)
+    assert splitting.named("a" * 5000, forced) == "forced" and forced == 3 and len(spans) == 4
     whole = ("Stavek je tu. " * 107 + "\n\n") * 3
     spans, _ = splitting.split(whole)
     assert all(whole[:b].rstrip(" ").endswith((".", "\n")) for _, b in spans[:-1])
