@@ -1,10 +1,13 @@
 """Problem 3: text of scanned pages becomes continuous paragraphs.
 
-Page furniture is taken out, words divided at line ends are joined, and each token is read by the
-vocabulary with misread characters allowed. What it still doesn't know is decoded, alone or with a
-neighbour in its line, by one dynamic program over the characters: words may be run together, hold a
-blank, and hold misread characters, all at once. Paragraph boundaries are then chosen by dynamic programming over
-the lines. Vocabulary sizes are bounded as :mod:`.lexicon` explains.
+The lines of a text are one stream of tokens, decoded jointly. Its lattice has these edges: a token stands
+as it is; it is read with misread characters; tokens parted by a blank are one word (the blank goes); a
+token is several words run together; tokens parted by a division mark and a line break are one word; a
+line that looks like page furniture is skipped. Within a stretch of tokens one dynamic program over the
+characters finds the words, with gaps, missing gaps and confusions all at once; over the tokens a second
+one chooses the edges. The kinds of damage are read off the chosen path. Paragraph boundaries are then
+chosen by dynamic programming over the lines. Costs are logarithms of shares of documents, so they are the
+same at every size of the table; vocabulary sizes are bounded as :mod:`.lexicon` explains.
 """
 
 from __future__ import annotations
@@ -27,12 +30,23 @@ MISREAD = {
 }
 #: Those that are no letters of Slovene words: they prove a misreading by themselves (fixed value).
 _SIGNS = frozenset("1!|05698†(öß'")
-#: How much more frequent the read word must be than what stands there.
+#: How much more frequent the read word must be than what stands there; the cost of a misread place says the same.
 RATIO = 25
-#: Most misread places in a word, and the cost of each; cost of a gap between words run together.
-MOST, PLACE_COST, GAP_COST = 3, 4.0, 2.5
-#: Cost of a blank inside a word; of an unknown word left as it is: once, for each letter, for each letter beyond ten.
-BLANK_COST, UNKNOWN_COST, LETTER_COST, LONG_COST = 3.0, 3.0, 1.5, 2.0
+PLACE_COST = math.log(RATIO)
+#: Letters (not signs) that a word may have misread; extra cost of such a place for each letter a word has fewer than 4.
+LETTER_PLACES, SHORT_COST = 1, 4.0
+#: Cost of words run together: once, and for each gap; of a blank inside a word; of joining over a division mark; of joining a link word to something unknown.
+RUN_COST, GAP_COST, BLANK_COST, JOIN_COST, LINK_COST = 5.5, 2.5, 8.6, 0.5, 12.0
+#: Most blanks inside one word.
+MOST_BLANKS = 2
+#: Cost of an unknown word as it is: once, for each letter, for each letter beyond ten, for each sign in it.
+UNKNOWN_COST, LETTER_COST, LONG_COST, SIGN_COST = 9.4, 1.5, 2.0, 4.0
+#: Letters of an unknown word among words run together.
+AMONG = (3, 10)
+#: Cost of each letter of an unknown word beyond its own where words are known to run together.
+TOGETHER_COST = 1.2
+#: Lines this wide aren't lines of a page but paragraphs.
+WIDEST = 200
 #: Division marks (fixed value).
 MARKS = "-¬­⸗‐"
 
@@ -74,189 +88,259 @@ def furniture(lines: list[str]) -> list[bool]:
 
 
 class Reader:
-    """Decodes tokens against the vocabulary."""
+    """Decodes streams of tokens against the vocabulary."""
 
     def __init__(self, words: Lexicon):
         self.words = words
-        self.longest = max(map(len, words.words), default=0)
         self.total = sum(words.words.values()) or 1
-        self.known = Memo(self._read)
         self.order = sorted(words.words)
         self.begins = Memo(self._begins)
         self.decoded = Memo(self._decode)
-        self.open = Memo(lambda token: bool(core := _parted(token)[1]) and not self.weight(core.lower()))
+        self.together = Memo(lambda text: self._decode(text, True))
+        self.single = Memo(self._single)
 
     def weight(self, word: str) -> int:
         return self.words.get(word)
 
-    def candidates(self, word: str) -> tuple[str, int, bool] | None:
-        """Best vocabulary word that ``word`` may be a misreading of: it, its frequency, whether signs prove it."""
-        signs = [i for i, c in enumerate(word) if c in _SIGNS]
-        best = None
-        #: (text read so far, place in the word, misread places)
-        states = [("", 0, 0)]
-        here = self.weight(word)
-        while states:
-            done, at, n = states.pop()
-            if at == len(word):
-                w = self.weight(done)
-                if n and w and (best is None or (n, -w) < best[0]):
-                    best = ((n, -w), done, w)
-                continue
-            c = word[at]
-            if c not in _SIGNS:
-                states.append((done + c, at + 1, n))
-            if n < max(MOST if signs else 1, len(signs)) and n < 5:
-                for span in (2, 1):
-                    piece = word[at : at + span]
-                    # Beside signs, letters are read otherwise only within the same budget.
-                    for to in MISREAD.get(piece, ()) if len(piece) == span else ():
-                        states.append((done + to, at + span, n + 1))
-        if best is None:
-            return None
-        if best[2] < RATIO * here or not signs and (len(word) < 4 or best[2] < RATIO):
-            return None
-        return best[1], best[2], bool(signs)
-
-    def split(self, text: str) -> list[str] | None:
-        """Words of a stretch written without blanks, if the vocabulary covers it."""
-        n = len(text)
-        cost: list[float] = [0.0] + [math.inf] * n
-        back = [0] * (n + 1)
-        for end in range(1, n + 1):
-            for start in range(max(0, end - self.longest), end):
-                w = self.weight(text[start:end].lower()) if cost[start] < math.inf else 0
-                if w and cost[start] + GAP_COST + math.log(self.total / w) < cost[end]:
-                    cost[end], back[end] = cost[start] + GAP_COST + math.log(self.total / w), start
-        if cost[n] == math.inf:
-            return None
-        out, end = [], n
-        while end:
-            out.append(text[back[end] : end])
-            end = back[end]
-        return out[::-1]
+    def as_is(self, word: str) -> float:
+        """Cost of a word in lower case as it stands."""
+        w = self.weight(word)
+        if w:
+            return math.log(self.total / w)
+        return UNKNOWN_COST + LETTER_COST * len(word) + LONG_COST * max(0, len(word) - 10) + SIGN_COST * sum(c in _SIGNS for c in word)
 
     def _begins(self, start: str) -> bool:
         at = bisect.bisect_left(self.order, start)
         return at < len(self.order) and self.order[at].startswith(start)
 
-    def _words_at(self, text: str, start: int) -> list[tuple[float, int, str, int]]:
-        """Vocabulary words that ``text`` may hold from ``start`` on: cost, end, word, evidence of misreading."""
+    def words_at(self, text: str, start: int) -> list[tuple[float, int, str, int]]:
+        """Vocabulary words that ``text`` may hold from ``start`` on: cost, end, word, evidence of misreading.
+
+        Signs may be misread without limit, letters in ``LETTER_PLACES`` places, and blanks may stand inside.
+        """
         out = []
+        #: (word so far, place in the text, letters misread, signs misread, blanks passed)
         states = [("", start, 0, 0, 0)]
         while states:
-            done, at, places, blanks, signs = states.pop()
-            if done and (at == len(text) or text[at] != " " or blanks == 0) and (w := self.weight(done)):
+            done, at, letters, signs, blanks = states.pop()
+            if done and text[at - 1] != " " and (w := self.weight(done)):
                 # Words of one letter lean on the next word, so none ends a token.
-                if len(done) == 1 and start and text[start - 1] != " " and (at == len(text) or text[at] == " "):
-                    pass
-                elif not places or signs == places or places - signs <= 1 and len(done) >= 4 and w >= RATIO:
-                    gap = GAP_COST if at < len(text) and text[at] != " " else 0.0
-                    out.append((math.log(self.total / w) + PLACE_COST * places + BLANK_COST * blanks + gap, at, done, 2 if signs else 1 if places else 0))
+                if len(done) > 1 or not start or text[start - 1] == " " or at < len(text) and text[at] != " ":
+                    short = SHORT_COST * letters * max(0, 4 - len(done))
+                    out.append((math.log(self.total / w) + PLACE_COST * (letters + signs) + short + BLANK_COST * blanks, at, done, 2 if signs else 1 if letters else 0))
             if at == len(text):
                 continue
             c = text[at]
             if c == " ":
-                if done and not blanks:
-                    states.append((done, at + 1, places, 1, signs))
+                if done and blanks < MOST_BLANKS:
+                    states.append((done, at + 1, letters, signs, blanks + 1))
                 continue
             if c not in _SIGNS and self.begins[done + c]:
-                states.append((done + c, at + 1, places, blanks, signs))
-            for span in (2, 1) if places < MOST else ():
+                states.append((done + c, at + 1, letters, signs, blanks))
+            for span in (2, 1):
                 piece = text[at : at + span]
                 sign = any(x in _SIGNS for x in piece)
-                for to in MISREAD.get(piece, ()) if len(piece) == span and (sign or places == signs) else ():
+                for to in MISREAD.get(piece, ()) if len(piece) == span and (sign or letters < LETTER_PLACES) else ():
                     if self.begins[done + to]:
-                        states.append((done + to, at + span, places + 1, blanks, signs + sign))
+                        states.append((done + to, at + span, letters + (not sign), signs + sign, blanks))
         return out
 
-    def _decode(self, text: str) -> tuple[list[tuple[int, int, str]], int] | None:
-        """Words that a stretch of blank-separated tokens in lower case holds, if they are likelier than the stretch as it is.
+    def _decode(self, text: str, together: bool = False) -> tuple[float, list[tuple[int, int, str]], int] | None:
+        """Cost, words (start, end, word) and evidence of misreading of a stretch in lower case; None if as it is it's likelier.
 
-        One dynamic program over its characters: a word may hold one blank and misread places, and a blank
-        may be missing between two. Gives (start, end, word) of each and the evidence of misreading.
+        With ``together``, it stands in a token of which is known that its words run together.
         """
         n = len(text)
-        cost: list[float] = [0.0] + [math.inf] * n
-        back: list[tuple[int, str, int] | None] = [None] * (n + 1)
+        if not _ALPHABET.fullmatch(text):
+            return None
+        # A bar between words divides cells, it isn't a letter.
+        if "|" in text and any(len(x) > 2 and self.weight(x) for x in re.split(r"[| ]", text)):
+            return None
+        least = sum(self.as_is(t) for t in text.split(" ")) + (TOGETHER_COST * n if together else 0.0)
+        first_gap = GAP_COST + (0.0 if together else RUN_COST)
+        #: Two layers: no gap so far, and some gap.
+        cost = [[math.inf] * (n + 1), [math.inf] * (n + 1)]
+        cost[0][0] = 0.0
+        back: list[list[tuple[int, int, str, int]]] = [[(0, 0, "", 0)] * (n + 1), [(0, 0, "", 0)] * (n + 1)]
+
+        def reach(start: int, end: int, more: float, word: str, evidence: int) -> None:
+            gap = bool(word) and end < n and text[end] != " "
+            for layer in (0, 1):
+                total = cost[layer][start] + more + ((GAP_COST if layer else first_gap) if gap else 0.0)
+                to = 1 if gap else layer
+                if total < cost[to][end]:
+                    cost[to][end], back[to][end] = total, (layer, start, word, evidence)
+
         for start in range(n):
-            if cost[start] == math.inf:
+            if min(cost[0][start], cost[1][start]) >= least:
                 continue
             if text[start] == " ":
-                if cost[start] < cost[start + 1]:
-                    cost[start + 1], back[start + 1] = cost[start], (start, "", 0)
+                reach(start, start + 1, 0.0, "", 0)
                 continue
-            for more, end, word, evidence in self._words_at(text, start):
-                if cost[start] + more < cost[end]:
-                    cost[end], back[end] = cost[start] + more, (start, word, evidence)
-        as_is = sum(math.log(self.total / w) if (w := self.weight(t)) else UNKNOWN_COST + LETTER_COST * len(t) + LONG_COST * max(0, len(t) - 10) for t in text.split(" "))
-        if cost[n] >= as_is:
+            for more, end, word, evidence in self.words_at(text, start):
+                reach(start, end, more, word, evidence)
+            if n > AMONG[1]:
+                # A word unknown among the others; only in longer stretches can it pay.
+                for end in range(start + AMONG[0], min(n, start + AMONG[1]) + 1):
+                    piece = text[start:end]
+                    if " " in piece:
+                        break
+                    reach(start, end, UNKNOWN_COST + (LETTER_COST + TOGETHER_COST * together) * len(piece) + SIGN_COST * sum(c in _SIGNS for c in piece), piece, 0)
+        layer = int(cost[1][n] < cost[0][n])
+        whole = cost[layer][n]
+        if whole >= least:
             return None
         out, evidence, end = [], 0, n
         while end:
-            start, word, shown = back[end]
+            layer, start, word, shown = back[layer][end]
             if word:
                 out.append((start, end, word))
                 evidence = max(evidence, shown)
             end = start
-        return out[::-1], evidence
-
-    def line(self, text: str) -> tuple[str, int]:
-        """``text`` with what the vocabulary doesn't know decoded, alone or with a neighbour, and the evidence of misreading."""
-        out, shown, i = _BLANKS.split(text), 0, 0
-        out, blanks = out[::2], out[1::2]
-        while i < len(out):
-            if not self.open[out[i]]:
-                i += 1
-                continue
-            for a, b in ((i - 1, i + 1), (i, i + 2), (i, i + 1)):
-                parts = [_parted(t) for t in out[max(a, 0) : b]]
-                if a < 0 or len(parts) < b - a or not all(p[1] for p in parts) or b - a == 2 and (parts[0][2] or parts[1][0] or not parts[1][1].islower()):
-                    continue
-                stretch = " ".join(p[1] for p in parts)
-                # A bar between words divides cells, it isn't a letter.
-                if "|" in stretch and any(len(x) > 2 and self.weight(x) for x in re.split(r"[| ]", stretch.lower())):
-                    continue
-                if (found := self.decoded[stretch.lower()]) is None:
-                    continue
-                words = [_cased(stretch[x:y].replace(" ", ""), w) for x, y, w in found[0]]
-                out[a:b] = [parts[0][0] + " ".join(words) + parts[-1][2]]
-                del blanks[a : b - 1]
-                shown += found[1]
-                i = a
-                break
-            i += 1
-        return "".join(t for pair in zip(out, [*blanks, ""]) for t in pair), shown
-
-    def _read(self, token: str) -> tuple[str, int]:
-        """(token as it should read, evidence of misreading: 0 none, 1 by letters, 2 by signs)."""
+        return whole, out[::-1], evidence
+
+    def reading(self, word: str) -> tuple[float, str, int] | None:
+        """Cost, word and evidence of the best vocabulary word of which ``word``, whole, may be a misreading; None if as it is it's likelier."""
+        best = min(((c, w, e) for c, end, w, e in self.words_at(word, 0) if end == len(word) and e), default=None)
+        return best if best and best[0] < self.as_is(word) else None
+
+    def _single(self, token: str) -> tuple[float, str, int, bool]:
+        """Cost of a token, what it should read, evidence of misreading, and whether it is open: no word and not read as one."""
+        left, core, right = _parted(token)
+        low = core.lower()
+        base = self.as_is(low) if core else 0.0
+        best = (base, token, 0)
+        if found := self._signed(token):
+            best = found
+        elif core and not self.weight(low) and (done := self.decoded[low]) and done[0] < base:
+            best = (done[0], left + _spelled(core, done[1]) + right, done[2])
+        elif not core and (parts := _RUNS.findall(token)) and len(parts) > 1 and not _NO_WORDS.search(token):
+            # Words run together with the punctuation and numbers between them.
+            costs = [(d[0], _spelled(p, d[1])) if not self.weight(p.lower()) and (d := self.together[p.lower()]) else self.single[p][:2] for p in parts]
+            if sum(c for c, _ in costs) + RUN_COST + GAP_COST * (len(parts) - 1) < self.as_is("".join(parts).lower()):
+                texts = iter(t for _, t in costs)
+                best = (0.0, _BETWEEN.sub(" ", _RUNS.sub(lambda m: next(texts), token)), 0)
+        return *best, bool(core) and not self.weight(low) and best[1] == token
+
+    def _signed(self, token: str) -> tuple[float, str, int] | None:
+        """A whole token read with misread characters; signs at its edges may be punctuation or letters."""
         core = token.strip(_EDGE)
         low = core.lower()
-        # However often a form stands in the corpus, its best reading decides: misreadings recur too.
         if len(low) < 2 or not _SUSPECT.search(low):
-            return token, 0
+            return None
         # An exclamation or opening bracket at the edge is punctuation if the rest is a word.
         bare = low.strip("!(").removesuffix("'")
         if not bare or bare != low and self.weight(bare) and not re.search(r"![.,;:?]", token):
-            return token, 0
-        if not low.isalpha() and not all(c.isalpha() or c in _SIGNS for c in low):
-            return token, 0
+            return None
+        if not all(c.isalpha() or c in _SIGNS for c in low):
+            return None
         tries = [low] if low.startswith("(") or low.endswith(("!", "'")) else [bare]
         if low != bare and bare not in tries:
             tries.append(bare)
         for form in tries:
-            if len(form) <= 30 and (found := self.candidates(form)):
-                word, _, proof = found
+            if found := self.reading(form):
+                cost, word, proof = found
                 start = token.lower().find(form)
-                cased = word.upper() if core.isupper() and len(core) > 1 else word[:1].upper() + word[1:] if core[:1].isupper() else word
-                return token[:start] + cased + token[start + len(form) :], 2 if proof else 1
-        return token, 0
+                return cost, token[:start] + _cased(core, word) + token[start + len(form) :], proof
+        return None
+
+    def stream(self, tokens: list[str], line_ends: list[bool]) -> list[tuple[int, int, str, str | None, int]]:
+        """The chosen edges of a stream of tokens that change something: from token, to token, text, kind, evidence.
+
+        ``line_ends`` says of each token whether its line ends after it. Only around tokens that are open or
+        divided is there more than one edge; a dynamic program runs over each such stretch.
+        """
+        out: list[tuple[int, int, str, str | None, int]] = []
+        n = len(tokens)
+        single = self.single
+        many: list[int] = []
+        for i, token in enumerate(tokens):
+            own = single[token] if len(token) < 64 else self._single(token)
+            if own[3] or line_ends[i] and token[-1] in MARKS and i + 1 < n:
+                many.append(i)
+            elif own[2] or own[1] is not token and own[1] != token:
+                many.append(i)
+        i = 0
+        while i < len(many):
+            # A stretch: what lies within two tokens of tokens with a choice.
+            low = high = many[i]
+            while i < len(many) and many[i] - high <= 4:
+                high = many[i]
+                i += 1
+            low, high = max(0, low - 2), min(n, high + 3)
+            if out and out[-1][1] > low:
+                low = out[-1][1]
+            out += self._path(tokens, line_ends, low, high)
+        return out
+
+    def _path(self, tokens: list[str], line_ends: list[bool], low: int, high: int) -> list[tuple[int, int, str, str | None, int]]:
+        best: dict[int, tuple[float, tuple | None]] = {low: (0.0, None)}
+        for i in range(low, high):
+            if i not in best:
+                continue
+            here = best[i][0]
+            for more, edge in self._edges(tokens, line_ends, i, high):
+                to = edge[1]
+                if to not in best or here + more < best[to][0]:
+                    best[to] = here + more, edge
+        out, at = [], max(best)
+        while at > low:
+            edge = best[at][1]
+            if edge[2] is not None:
+                out.append(edge)
+            at = edge[0]
+        return out[::-1]
+
+    def _edges(self, tokens: list[str], line_ends: list[bool], i: int, high: int):
+        token = tokens[i]
+        marked = line_ends[i] and len(token) > 1 and token[-1] in MARKS and i + 1 < len(tokens)
+        cost, text, evidence, is_open = self.single[token]
+        changed = text if text != token else None
+        if not marked:
+            yield cost, (i, i + 1, changed, None, evidence)
+        else:
+            bare = token[:-1]
+            yield self.single[bare][0], (i, i + 1, changed, None, evidence)
+            link = tokens[i + 1].strip(_EDGE).lower() in _LINKS
+            # Over a division mark: the rest of the word moves up; it may itself be divided again.
+            joined, j = token, i
+            while j + 1 < len(tokens) and line_ends[j] and (m := _DIVIDED.search(joined)) and (rest := _REST.match(tokens[j + 1])) and (rest[0][0].islower() or m[1].isupper()):
+                joined = joined[: m.end(1)] + tokens[j + 1]
+                j += 1
+                found = self.single[joined] if not _DIVIDED.search(joined) else self.single[joined[:-1]]
+                yield found[0] + JOIN_COST + (LINK_COST if link and found[3] else 0.0), (i, j + 1, found[1] if not _DIVIDED.search(joined) else joined, "split", found[2])
+        # Over blanks: tokens of one line of which some is open.
+        parts = [_parted(token)]
+        opens = is_open
+        for j in range(i + 1, min(high, i + MOST_BLANKS + 1)):
+            if line_ends[j - 1] or not parts[-1][1] or parts[-1][2]:
+                return
+            part = _parted(tokens[j])
+            if not part[1] or part[0] or not part[1].islower():
+                return
+            parts.append(part)
+            opens += self.single[tokens[j]][3]
+            if opens >= j - i:
+                stretch = " ".join(p[1] for p in parts)
+                if found := self.decoded[stretch.lower()]:
+                    # Of equal ways, that of the shorter stretches.
+                    yield found[0] + 1e-3 * (j - i), (i, j + 1, parts[0][0] + _spelled(stretch, found[1]) + parts[-1][2], None, found[2])
+
+
+_REST = re.compile(r"(?:[^\W\d_]|[1!|0569†(öß'])+")
+_RUNS = re.compile(r"[^\W\d_]+")
+#: What the decoder reads: letters of Slovene words, signs, blanks (fixed value).
+_ALPHABET = re.compile(r"[a-zčšžćđ1!|05698†(öß' ]*")
+#: Signs of tokens that are no running text (fixed values).
+_NO_WORDS = re.compile(r"[^\w.,;:!?…»«„“”’()–—-]|_|www\.|[^\W\d_A-Za-zčšžćđČŠŽĆĐ]")
+#: Where blanks are missing: after punctuation before a letter, and beside numbers.
+_BETWEEN = re.compile(r"(?<=[.,;:!?])(?=[^\W\d_])|(?<=[^\W\d_])(?=\d{4})|(?<=\d{4})(?=[^\W\d_])")
 
 
 def _parted(token: str) -> tuple[str, str, str]:
     """Edge, word and edge of a token; the word is empty if it holds anything but letters and signs."""
-    core = token.strip(_EDGE).strip("!(")
-    if not core or len(core) > 40 or not _SUSPECT.search(core) or not all(c.isalpha() or c in _SIGNS for c in core):
+    core = token.strip(_EDGE).strip("!('")
+    if not core or not _SUSPECT.search(core) or not all(c.isalpha() or c in _SIGNS for c in core):
         return token, "", ""
     at = token.find(core)
     return token[:at], core, token[at + len(core) :]
@@ -267,21 +351,13 @@ def _cased(old: str, word: str) -> str:
     return old if old.lower() == word else word.upper() if old.isupper() and len(old) > 1 else word[:1].upper() + word[1:] if old[:1].isupper() else word
 
 
+def _spelled(stretch: str, words: list[tuple[int, int, str]]) -> str:
+    return " ".join(_cased(stretch[a:b].replace(" ", ""), w) for a, b, w in words)
+
+
 def reader(words: Lexicon):
     """Function from a text to (repaired text, kinds of damage)."""
-    read = Reader(words)
-
-    def divided(left: str, right: str) -> bool:
-        """Whether ``left``-``right`` at a line's end is one word."""
-        a, b = left.lower(), right.lower()
-        whole = read.weight(a + b)
-        if whole:
-            return True
-        if read.weight(a) and read.weight(b):
-            return False
-        if (found := read.candidates(a + b)) and found[1] >= RATIO:
-            return True
-        return not (b in _LINKS or read.weight(b) and len(b) > 4)
+    read = words.once(Reader)
 
     def repair(text: str | None) -> tuple[str | None, list[str]]:
         if not text:
@@ -291,61 +367,63 @@ def reader(words: Lexicon):
         if _UNUSUAL.search(text):
             text = by_table(text)
         lines = text.split("\n")
-        out: list[str] = []
         if len(lines) > 1:
             off = furniture(lines)
             if any(off):
+                # Edges that skip a line cost nothing: furniture is always left out.
                 kinds.add("furniture")
                 lines = _without(lines, off)
             lines = [line.replace("\x0c", "") for line in lines]
-            # Divided words: the mark and the break go, the rest of the word moves up.
-            i = 0
-            while i < len(lines):
-                line = lines[i]
-                while m := _DIVIDED.search(line):
-                    j = i + 1
-                    while j < len(lines) and not lines[j].strip():
-                        j += 1
-                    if j == len(lines) or not (n := re.match(r"\s*((?:[^\W\d_]|[1!|0569†(öß'])+)", lines[j])) or not n[1][0].islower() and not m[1].isupper():
-                        break
-                    if not divided(m[1], n[1].strip("!(")):
-                        break
-                    kinds.add("split")
-                    rest = lines[j][n.end(1) :]
-                    head = re.match(r"\S*", rest)[0]
-                    line = line[: m.end(1)] + n[1] + head
-                    lines[j] = rest[len(head) :].lstrip()
-                    if not lines[j]:
-                        del lines[j]
-                lines[i] = line
-                i += 1
-        shown, decoded = 0, False
-        known = read.known
-        for line in lines:
-            new, unread = line, False
-            for token in line.split():
-                fixed, evidence = known[token] if len(token) < 40 else (token, 0)
-                if evidence:
-                    shown += evidence
-                    new = new.replace(token, fixed, 1)
-                    continue
-                unread = unread or read.open[token]
-                if len(token) > 25 and token.isprintable() and not re.search(r"[/@<>&=\\{}\[\]_]", token):
-                    new = new.replace(token, _spaced(token, read), 1)
-            if unread:
-                new, evidence = read.line(new)
-                shown += evidence
-            decoded |= new != line
-            out.append(new)
-        if shown:
-            kinds.add("misread")
-        elif not decoded:
-            out = lines
-        return _paragraphs(out) if len(out) > 1 else out[0], sorted(kinds)
+        tokens: list[str] = []
+        line_ends: list[bool] = []
+        #: Of each token, its line and place in it.
+        places: list[int] = []
+        for k, line in enumerate(lines):
+            own = line.split()
+            tokens += own
+            line_ends += [False] * len(own)
+            places += [k] * len(own)
+            if own:
+                line_ends[-1] = True
+        edges = read.stream(tokens, line_ends)
+        if edges:
+            lines = _rewritten(lines, tokens, places, edges)
+            kinds.update(kind for *_, kind, _ in edges if kind)
+            if any(evidence for *_, evidence in edges):
+                kinds.add("misread")
+        return _paragraphs(lines) if len(lines) > 1 else lines[0], sorted(kinds)
 
     return repair
 
 
+def _rewritten(lines: list[str], tokens: list[str], places: list[int], edges: list[tuple[int, int, str, str | None, int]]) -> list[str]:
+    """Lines with the text of the edges in place of their tokens; a token taken to an earlier line leaves its own."""
+    new: dict[int, str | None] = {}
+    for a, b, text, *_ in edges:
+        new[a] = text
+        new.update((i, None) for i in range(a + 1, b))
+    touched = {places[i] for i in new}
+    first: dict[int, int] = {}
+    for i, k in enumerate(places):
+        first.setdefault(k, i)
+    out = []
+    for k, line in enumerate(lines):
+        if k not in touched:
+            out.append(line)
+            continue
+        parts = _BLANKS.split(line.strip())
+        words, blanks = parts[::2], [line[: len(line) - len(line.lstrip())], *parts[1::2]]
+        done = ""
+        for j, (word, blank) in enumerate(zip(words, blanks)):
+            i = first[k] + j
+            word = new.get(i, word)
+            if word is not None:
+                done += (blank if done or j == 0 else "") + word
+        if done.strip():
+            out.append(done)
+    return out
+
+
 #: Words that follow a real hyphen (fixed values).
 _LINKS = frozenset("in ali ter pa na do od".split())
 
@@ -385,7 +463,7 @@ def _paragraphs(lines: list[str]) -> str:
     if not filled:
         return "\n".join(lines)
     width = filled[int(0.9 * (len(filled) - 1))]
-    if width > 200:
+    if width > WIDEST:
         return "\n".join(lines)
     n = len(lines)
     #: Least cost up to a line whose end is followed by a break (0) or not (1), and the choice before.

@@ -41,7 +41,7 @@ def test_scan_repair(words):
         assert scans.furniture(["pela je", line, "pesem"]) == [False, True, False], line
     for line in ("I.", "II.", "17.", "LOVRO:", "Leta 1888", "(gl. tab. 2b)."):
         assert scans.furniture(["pela je", line, "pesem"]) == [False, False, False], line
-    assert scans.Reader(words).split("kdojehitrogledalhišo") == ["kdo", "je", "hitro", "gledal", "hišo"]
+    assert repair("Kdojehitrogledalhišo") == ("Kdo je hitro gledal hišo", [])
 
 
 def test_markup():
