@@ -1,4 +1,4 @@
-"""Text functions as Spark columns; all of them run in the JVM.
+"""Text functions as Spark columns; all but canonical composition run in the JVM.
 
 Patterns that are also stated in SQL name their whitespace and word classes in full, since regular
 expression engines differ in what ``\\s`` and ``\\w`` mean beyond ASCII.
@@ -10,6 +10,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ..plans import params as P
+from . import unicode
 
 #: White space of Unicode as a character class (fixed value).
 SPACE = r"\t\n\x0B\f\r \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
@@ -158,25 +159,21 @@ PROBES = {"wikitable": r"\{\|", "wikilink": r"\[\[", "template": r"\{\{", "image
 
 
 def normalized_title(title: str | Column) -> Column:
-    """Matching key of a title: case-folded, punctuation as blanks, diacritics kept."""
-    return strip(F.regexp_replace(F.regexp_replace(folded(title), f"[^{WORD}{SPACE}]", " "), f"[{SPACE}]+", " "))
+    """Matching key of a title: composed, case-folded, punctuation as blanks, diacritics kept."""
+    return strip(F.regexp_replace(F.regexp_replace(folded(unicode.nfc(title)), f"[^{WORD}{SPACE}]", " "), f"[{SPACE}]+", " "))
 
 
 def title_without_author(title: str | Column, author: str | Column) -> Column:
     """The title without a closing bracket that names the author's surname."""
-    surname = folded(F.element_at(words(author), -1))
+    surname = folded(F.element_at(words(unicode.nfc(author)), -1))
     inner = F.regexp_extract(_c(title), r"\(([^)]*)\)[ \t\n]*$", 1)
-    named = F.coalesce((inner != "") & F.contains(folded(inner), surname), F.lit(False))
+    named = F.coalesce((inner != "") & F.contains(folded(unicode.nfc(inner)), surname), F.lit(False))
     return normalized_title(F.when(named, F.regexp_replace(_c(title), r"[ \t\n]*\([^)]*\)[ \t\n]*$", "")).otherwise(_c(title)))
 
 
-#: Letters with a diacritic and the letters without (P16; fixed values, in the order of the second string).
-MARKED, BARE = "áàâäãåčćçďéèêëěíìîïľĺňñóòôöõřŕšśťúùûüůýžźż", "aaaaaacccdeeeeeiiiillnnooooorrsstuuuuuyzzz"
-
-
 def slug(title: str | Column) -> Column:
     """Title as a URL part: normalized, without diacritics, blanks as hyphens."""
-    return F.replace(F.translate(normalized_title(title), MARKED, BARE), F.lit(" "), F.lit("-"))
+    return F.replace(unicode.without_marks(normalized_title(title)), F.lit(" "), F.lit("-"))
 
 
 def attributed_to(title: str | Column) -> Column:
@@ -203,8 +200,8 @@ def source_name(source: str | Column) -> Column:
 
 
 def slice_of(source: str | Column, author: str | Column, main_author: str) -> Column:
-    """Reporting slice: the main author first, then the encyclopedia, else literary."""
-    return F.when(_c(author) == main_author, "main_author").when(_c(source) == "wikipedia", "wikipedia").otherwise("literary")
+    """Reporting slice: the main author first, then the encyclopedia, else literary (P30); sources in any spelling."""
+    return F.when(_c(author) == main_author, "main_author").when(source_name(source) == "wikipedia", "wikipedia").otherwise("literary")
 
 
 def title_url(base: str, title: str | Column) -> Column:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..functions import unicode
 from ..plans import params as P
 from .common import spread
 
@@ -47,8 +48,8 @@ def preclean(text: Column) -> Column:
 
 
 def clean_wikitext(text: Column, depth: int = 4) -> Column:
-    """Plain text of wiki markup (P18): references, templates, links, quotes, tags and magic words go, blanks are tidied."""
-    text = F.regexp_replace(text, r"(?is)<ref[^>/]*(?:/>|>.*?</ref>)", "")
+    """Plain text of wiki markup (P18): composed; references, templates, links, quotes, tags and magic words go, blanks are tidied."""
+    text = F.regexp_replace(unicode.nfc(text), r"(?is)<ref[^>/]*(?:/>|>.*?</ref>)", "")
     for _ in range(depth):
         text = F.regexp_replace(text, r"\{\{[^{}]*\}\}", "")
     text = F.regexp_replace(text, r"\[\[(?:[^\[\]|]*\|)*([^\[\]|]*)\]\]", "$1")
@@ -90,7 +91,7 @@ def crawl_skip_reason(title: Column, text: Column, others: Column, least: int =
 
 def scan_lines(text: Column) -> Column:
     """Lines of scanned text after joining divided words, with runs of blanks single (first half of P27)."""
-    text = F.replace(F.replace(text, F.lit("\r\n"), F.lit("\n")), F.lit("�"), F.lit(""))
+    text = F.replace(F.replace(unicode.nfc(text), F.lit("\r\n"), F.lit("\n")), F.lit("�"), F.lit(""))
     text = F.regexp_replace(text, r"([\p{L}\p{N}_])[-¬]\n([\p{L}\p{N}_])", "$1$2")
     text = F.regexp_replace(text, rf"\\[{T.SPACE}]+", " ")
     return F.transform(F.split(text, "\n"), lambda x: F.regexp_replace(T.strip(x), r"[ \t]+", " "))

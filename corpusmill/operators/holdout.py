@@ -14,8 +14,8 @@ from .common import checkpointed
 
 
 def candidates(docs: DataFrame, source: str = "wikivir", chars: tuple[int, int] = P.HOLDOUT_CHARS, text: str = "text") -> DataFrame:
-    """Documents of ``source`` with a length in the band, both ends included."""
-    return docs.where((F.lower(F.trim("source")) == source) & F.length(text).between(*chars))
+    """Documents of ``source``, however spelled, with a length in the band, both ends included."""
+    return docs.where((T.source_name("source") == source) & F.length(text).between(*chars))
 
 
 def forward_closure(docs: DataFrame, among: DataFrame, key: str, text: str = "text", at_least: float = P.HOLDOUT_REJECT) -> DataFrame:

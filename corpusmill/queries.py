@@ -54,7 +54,8 @@ STRIP = lambda x: f"regexp_replace({x}, " + _n(f"^[{SP}]+|[{SP}]+$") + ", '', 'g
 LINES = f"list_filter(list_transform(regexp_split_to_array(coalesce(text, ''), " + _n(r"\r\n|[\n\x0B\f\r\x{1C}-\x{1E}\x{85}\x{2028}\x{2029}]") + f"), lambda x: {STRIP('x')}), lambda x: x <> '')"
 TOKENS = f"regexp_extract_all({FOLD('coalesce(text, chr(32))')}, {_n(f'[{T.WORD}]+')})"
 SHINGLES = f"(SELECT row_id, CASE WHEN len(w) >= 5 THEN list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i+4], ' '))) WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END AS s FROM (SELECT row_id, {TOKENS} AS w FROM corpus_doc))"
-NORM = lambda c: STRIP(f"regexp_replace(regexp_replace({FOLD(c)}, {_n(f'[^{T.WORD}{SP}]')}, ' ', 'g'), {_n(f'[{SP}]+')}, ' ', 'g')")
+NORM = lambda c: STRIP(f"regexp_replace(regexp_replace({FOLD(f'nfc_normalize({c})')}, {_n(f'[^{T.WORD}{SP}]')}, ' ', 'g'), {_n(f'[{SP}]+')}, ' ', 'g')")
+SOURCE = r"regexp_replace(lower(source), '[\s_\-]+', '', 'g')"
 TIER = "CASE WHEN shard = 'wikipedia' THEN 3 WHEN shard LIKE 'dlib-%-gapfill' THEN 2 WHEN shard LIKE 'dlib-%' THEN 1 ELSE 0 END"
 LEX = "[" + ", ".join(f"'{w}'" for w in dict.fromkeys(P.FUNCTION_WORDS.split())) + "]"
 _PUNCT = _n(T.PUNCTUATION)
@@ -142,7 +143,7 @@ UNITS = f"regexp_extract_all(coalesce(text, ''), {_n(rf'\p{{L}}+|\p{{N}}{{1,2}}|
 
 @query(f"""SELECT slice, count(*) AS n_docs, CAST(sum(w) AS BIGINT) AS n_words, CAST(sum(b) AS BIGINT) AS n_bytes, CAST(sum(len(u)) AS BIGINT) AS n_units,
   CAST(sum(len(list_filter(u, lambda x: regexp_full_match(x, '[0-9]+')))) AS BIGINT) AS n_digit_units, count(*) FILTER (WHERE soft) AS n_soft_hyphen, count(*) FILTER (WHERE tab) AS n_tab
-FROM (SELECT CASE WHEN author = '{MAIN_AUTHOR}' THEN 'main_author' WHEN source = 'wikipedia' THEN 'wikipedia' ELSE 'literary' END AS slice, len({WORDS}) AS w, octet_length(encode(coalesce(text, ''))) AS b,
+FROM (SELECT CASE WHEN author = '{MAIN_AUTHOR}' THEN 'main_author' WHEN {SOURCE} = 'wikipedia' THEN 'wikipedia' ELSE 'literary' END AS slice, len({WORDS}) AS w, octet_length(encode(coalesce(text, ''))) AS b,
   {UNITS} AS u, contains(text, chr(173)) AS soft, contains(text, chr(9)) AS tab FROM corpus_doc) GROUP BY slice""")
 def slice_stats(spark, sf):
     s = documents.slice_statistics(corpus(spark, sf), MAIN_AUTHOR)
@@ -179,7 +180,7 @@ def title_keys(spark, sf):
     return c.select("row_id", T.normalized_title(F.coalesce("title", F.lit(""))).alias("norm"), T.attributed_to("title").alias("attributed"), T.title_url("https://vir.example/wiki/", "title").alias("url_of_title"))
 
 
-@query(f"SELECT work_id, replace(translate({NORM('title')}, '{T.MARKED}', '{T.BARE}'), ' ', '-') AS slug FROM work_registry")
+@query(f"SELECT work_id, replace(strip_accents({NORM('title')}), ' ', '-') AS slug FROM work_registry")
 def slugs(spark, sf):
     return _table(spark, sf, "work_registry").select("work_id", T.slug("title").alias("slug"))
 
@@ -187,8 +188,8 @@ def slugs(spark, sf):
 INDEX = f"""(SELECT author, norm, arg_min(work_id, CAST(rank AS VARCHAR) || work_id) AS work_id FROM (
   SELECT author, {NORM('title')} AS norm, work_id, 0 AS rank FROM work_registry UNION ALL
   SELECT author, {NORM('a')} AS norm, work_id, 1 AS rank FROM (SELECT author, work_id, unnest(aliases) AS a FROM work_registry)) WHERE norm <> '' AND author IS NOT NULL GROUP BY author, norm)"""
-_SUR = FOLD(f"list_extract(regexp_extract_all(author, {_n(f'[^{SP}]+')}), -1)")
-BARE_TITLE = NORM(f"CASE WHEN regexp_extract(title, '\\(([^)]*)\\)[ \\t\\n]*$', 1) <> '' AND contains({FOLD("regexp_extract(title, '\\(([^)]*)\\)[ \\t\\n]*$', 1)")}, {_SUR}) THEN regexp_replace(title, '[ \\t\\n]*\\([^)]*\\)[ \\t\\n]*$', '') ELSE title END")
+_SUR = FOLD(f"list_extract(regexp_extract_all(nfc_normalize(author), {_n(f'[^{SP}]+')}), -1)")
+BARE_TITLE = NORM(f"CASE WHEN regexp_extract(title, '\\(([^)]*)\\)[ \\t\\n]*$', 1) <> '' AND contains({FOLD("nfc_normalize(regexp_extract(title, '\\(([^)]*)\\)[ \\t\\n]*$', 1))")}, {_SUR}) THEN regexp_replace(title, '[ \\t\\n]*\\([^)]*\\)[ \\t\\n]*$', '') ELSE title END")
 LOOKUP = f"(SELECT d.row_id, i.work_id FROM (SELECT row_id, author, {BARE_TITLE} AS norm FROM corpus_doc) d LEFT JOIN {INDEX} i USING (author, norm))"
 
 
@@ -319,11 +320,11 @@ def merge_drop_counts(spark, sf):
 @query()
 def merge_reattributed(spark, sf):
     c, w = corpus(spark, sf), _table(spark, sf, "work_registry")
-    named = w.where(F.exists("flags", lambda f: f == "not-by-author")).select("title", F.lit("same_work").alias("resolution"), F.col("author").alias("attribution"))
+    named = w.where(F.exists("flags", lambda f: f == merge.NOT_BY_AUTHOR)).select("title", F.lit("same_work").alias("resolution"), F.col("author").alias("attribution"))
     return merge.reattributed(c, merge.staged_merge(c, w, floor=300), named)
 
 
-@query(f"""SELECT DISTINCT w.work_id FROM work_registry w WHERE list_contains(w.flags, 'not-by-author') AND w.work_id NOT IN (SELECT work_id FROM {LOOKUP} WHERE work_id IS NOT NULL)""")
+@query(f"""SELECT DISTINCT w.work_id FROM work_registry w WHERE list_contains(w.flags, '{merge.NOT_BY_AUTHOR}') AND w.work_id NOT IN (SELECT work_id FROM {LOOKUP} WHERE work_id IS NOT NULL)""")
 def merge_never_fired(spark, sf):
     return merge.never_fired(_table(spark, sf, "work_registry"), corpus(spark, sf))
 
@@ -331,12 +332,12 @@ def merge_never_fired(spark, sf):
 # Held-out sets.
 
 
-@query("SELECT row_id FROM corpus_doc WHERE lower(trim(source)) = 'wikivir' AND length(text) BETWEEN 3000 AND 45000")
+@query(f"SELECT row_id FROM corpus_doc WHERE {SOURCE} = 'wikivir' AND length(text) BETWEEN 3000 AND 45000")
 def holdout_candidates(spark, sf):
     return holdout.candidates(corpus(spark, sf)).select("row_id")
 
 
-@query(f"""WITH {CONTAIN}, k AS (SELECT row_id FROM corpus_doc WHERE lower(trim(source)) = 'wikivir' AND length(text) BETWEEN 3000 AND 45000),
+@query(f"""WITH {CONTAIN}, k AS (SELECT row_id FROM corpus_doc WHERE {SOURCE} = 'wikivir' AND length(text) BETWEEN 3000 AND 45000),
 q AS (SELECT x.row_id, y.row_id AS other, x.n, count(*) AS common FROM e x JOIN k USING (row_id) JOIN e y ON x.g = y.g AND x.row_id <> y.row_id GROUP BY ALL HAVING count(*) >= 0.5 * x.n)
 SELECT row_id, CAST(n AS BIGINT) AS n_small, CAST(common AS BIGINT) AS common, other FROM (SELECT *, row_number() OVER (PARTITION BY row_id ORDER BY common DESC, other) AS r FROM q) WHERE r = 1""")
 def holdout_forward_closure(spark, sf):
@@ -353,11 +354,11 @@ def holdout_reverse_closure(spark, sf):
     return holdout.reverse_closure(corpus(spark, sf), _table(spark, sf, "holdout_work"), "row_id", "item_id")
 
 
-@query(f"""WITH d AS (SELECT row_id, len({WORDS}) AS size, sha256(CAST(row_id AS VARCHAR)) AS sha FROM corpus_doc WHERE source = 'wikivir'),
+@query(f"""WITH d AS (SELECT row_id, len({WORDS}) AS size, sha256(CAST(row_id AS VARCHAR)) AS sha FROM corpus_doc WHERE {SOURCE} = 'wikivir'),
 r AS (SELECT *, coalesce(sum(size) OVER (ORDER BY sha, row_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before, row_number() OVER (ORDER BY sha, row_id) AS k FROM d)
 SELECT row_id, size, sha, CAST(before AS BIGINT) AS before FROM r WHERE before < 5000 OR k <= 8""")
 def holdout_select(spark, sf):
-    docs = corpus(spark, sf).where("source = 'wikivir'").withColumn("size", T.n_words(F.coalesce("text", F.lit(""))))
+    docs = corpus(spark, sf).where(T.source_name("source") == "wikivir").withColumn("size", T.n_words(F.coalesce("text", F.lit(""))))
     return holdout.budget_fill(docs, "row_id", "row_id", "size", 5000)
 
 
@@ -403,7 +404,7 @@ def wiki_clean(spark, sf):
 @query()
 def page_skip_counts(spark, sf):
     c = corpus(spark, sf)
-    reason = cleaning.skip_reason(F.coalesce("title", F.lit("")), F.coalesce("text", F.lit("")), F.when(F.col("source") == "wikipedia", "0").otherwise("4"), F.lit(False))
+    reason = cleaning.skip_reason(F.coalesce("title", F.lit("")), F.coalesce("text", F.lit("")), F.when(T.source_name("source") == "wikipedia", "0").otherwise("4"), F.lit(False))
     return c.groupBy(F.coalesce(reason, F.lit("kept")).alias("reason")).agg(F.count("*").alias("n"))
 
 

@@ -23,6 +23,8 @@ def test_shingles(spark):
 def test_titles(spark):
     assert one(spark, "Križ na gori!", T.normalized_title) == "križ na gori"
     assert one(spark, "Križ na gori!", T.slug) == "kriz-na-gori"
+    assert one(spark, "Kriz\u030c na gori", T.normalized_title) == "križ na gori" and one(spark, None, T.normalized_title) is None
+    assert one(spark, "Voda ǆ ﬁ é Å", T.slug) == "voda-dz-fi-e-a"
     df = spark.createDataFrame([("Ada (Ivan Breznik)", "Ivan Breznik"), ("Ada (drama)", "Ivan Breznik"), ("Ada", None)], "t string, a string")
     assert [r[0] for r in df.select(T.title_without_author("t", "a")).collect()] == ["ada", "ada drama", "ada"]
 

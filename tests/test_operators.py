@@ -99,7 +99,7 @@ def merge_docs(spark):
 
 
 def merge_works(spark):
-    return spark.createDataFrame([("w1", "Domov", "Ivan", None, None, [], [], [], ""), ("w2", "Krivo", "Ivan", None, None, ["not-by-author"], [], [], "")], WORK)
+    return spark.createDataFrame([("w1", "Domov", "Ivan", None, None, [], [], [], ""), ("w2", "Krivo", "Ivan", None, None, ["not_by_author"], [], [], "")], WORK)
 
 
 def test_staged_merge(spark):
