@@ -3,23 +3,30 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
+def checkpointed(df: DataFrame, looped: bool = False) -> DataFrame:
     """``df`` cut from its lineage by a reliable checkpoint in the session's shared folder.
 
     Where ``spark.checkpoint.dir`` names none, a temporary one is made on a single machine, as in tests; a
-    cluster must name one.
+    cluster must name one. A checkpoint inherits the size the optimizer has estimated, which multiplies with
+    each join of a loop that goes on from its last checkpoint; with ``looped`` the rows are written as a table in
+    the same folder and read back, so their size is known.
     """
     context = df.sparkSession.sparkContext
     if context._jsc.sc().getCheckpointDir().isEmpty():
         folder = context.getConf().get("spark.checkpoint.dir")
-        if not folder and not context.master.startswith("local"):
+        if not folder and not (context.master == "local" or context.master.startswith("local[")):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="corpusmill-"))
-    return df.checkpoint(eager=True)
+    if not looped:
+        return df.checkpoint(eager=True)
+    path = f"{context._jsc.sc().getCheckpointDir().get()}/{uuid.uuid4()}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def spread(df: DataFrame) -> DataFrame:

@@ -50,8 +50,7 @@ def similar_pairs(df: DataFrame, key: str, text: str = "text", similarity: float
     Rows with equal shingle sets stand for each other: of each such group the least key is compared;
     :func:`near_duplicates` gives every row its class. Null and empty texts have no pairs.
     """
-    sets = shingle_sets(df, key, text, size).groupBy("shingles").agg(F.min(key).alias(key), F.first("n").alias("n"))
-    sets = checkpointed(sets)
+    sets = checkpointed(distinct_sets(df, key, text, size))
     exploded = sets.select(key, "n", F.explode("shingles").alias("s"))
     frequency = exploded.groupBy("s").agg(F.count("*").alias("f")).where("f > 1")
     # Shingles of one document only can't link it, but they fill its prefix: their number is subtracted.
@@ -72,14 +71,31 @@ def similar_pairs(df: DataFrame, key: str, text: str = "text", similarity: float
     return scored.where(F.col("common") >= F.lit(similarity) * (F.col("n_a") + F.col("n_b") - F.col("common")) - 1e-9)
 
 
+def _digests(sets: DataFrame, key: str) -> DataFrame:
+    """``key`` and the digest of its shingle set, a group of its own for rows without words."""
+    digest = F.when(F.size("shingles") > 0, F.sha2(F.array_join(F.transform("shingles", lambda x: x.cast("string")), ","), 256)).otherwise(F.concat(F.lit("null-"), F.col(key).cast("string")))
+    return sets.select(key, digest.alias("_h"))
+
+
 def representatives(df: DataFrame, key: str, text: str = "text", size: int = P.SHINGLE) -> DataFrame:
     """``key``, ``root``: the least key with the same shingle set; rows without words are their own."""
-    sets = hashed(df, key, text, size)
-    digest = F.when(F.size("shingles") > 0, F.sha2(F.array_join(F.transform("shingles", lambda x: x.cast("string")), ","), 256)).otherwise(F.concat(F.lit("null-"), F.col(key).cast("string")))
-    sets = sets.select(key, digest.alias("_h"))
+    sets = _digests(hashed(df, key, text, size), key)
     return sets.join(sets.groupBy("_h").agg(F.min(key).alias("root")), "_h").select(key, "root")
 
 
+def distinct_sets(df: DataFrame, key: str, text: str = "text", size: int = P.SHINGLE) -> DataFrame:
+    """``key``, ``shingles``, ``n`` of the first row of each different shingle set; rows without words are left out.
+
+    Sets are compared by digest, so only those of the first rows are shuffled.
+    """
+    sets = hashed(df, key, text, size)
+    if "shingles" not in df.columns:
+        sets = checkpointed(sets)
+    sets = sets.where(F.size("shingles") > 0)
+    first = _digests(sets, key).groupBy("_h").agg(F.min(key).alias(key)).select(key)
+    return sets.join(first, key, "left_semi").dropDuplicates([key]).withColumn("n", F.size("shingles"))
+
+
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """``node``, ``label``: the least node of each connected component of ``edges``.
 
@@ -92,7 +108,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         spread = both.join(labels.withColumnRenamed("node", "other"), "other").groupBy("node").agg(F.min("label").alias("near"))
         new = labels.join(spread, "node", "left").select("node", "label", F.least("label", F.coalesce("near", "label")).alias("new"))
         jump = labels.select(F.col("node").alias("new"), F.col("label").alias("far"))
-        new = checkpointed(new.join(jump, "new", "left").select("node", "label", F.least("new", F.coalesce("far", "new")).alias("new")))
+        new = checkpointed(new.join(jump, "new", "left").select("node", "label", F.least("new", F.coalesce("far", "new")).alias("new")), looped=True)
         if new.where("new <> label").isEmpty():
             return new.select("node", F.col("new").alias("label"))
         labels = new.select("node", F.col("new").alias("label"))
@@ -124,7 +140,8 @@ def keep_first(edges: DataFrame, earlier: str = "a", later: str = "b") -> DataFr
     while not state.where("kept is null").isEmpty():
         seen = e.join(state.select(F.col("node").alias("p"), F.col("kept").alias("pk")), "p").groupBy("node").agg(F.max("pk").alias("any"), F.max(F.col("pk").isNull()).alias("open"))
         state = checkpointed(
-            state.join(seen, "node", "left").select("node", F.when(F.col("kept").isNotNull(), F.col("kept")).when(F.coalesce("any", F.lit(False)), F.lit(False)).when(~F.coalesce("open", F.lit(False)), F.lit(True)).alias("kept"))
+            state.join(seen, "node", "left").select("node", F.when(F.col("kept").isNotNull(), F.col("kept")).when(F.coalesce("any", F.lit(False)), F.lit(False)).when(~F.coalesce("open", F.lit(False)), F.lit(True)).alias("kept")),
+            looped=True,
         )
     return state
 
@@ -146,7 +163,8 @@ def overlaps(small: DataFrame, large: DataFrame, small_key: str, large_key: str,
     """``small_key``, ``large_key``, ``common``, ``n_small``: pairs with containment >= ``at_least`` of the small text.
 
     Prefix filter on the small side alone: of its rarest-first shingles n - ceil(t n) + 1 must hold one
-    that the large text has. ``on`` names columns that must be equal (an author, say).
+    that the large text has. Those that no large text has come first of all: they are only counted, and a
+    text with too many of them is out. ``on`` names columns that must be equal (an author, say).
     """
     on = on or []
 
@@ -160,10 +178,10 @@ def overlaps(small: DataFrame, large: DataFrame, small_key: str, large_key: str,
     s, big = checkpointed(s), checkpointed(big)
     places = big.select(large_key, *on, F.explode("y").alias("s"))
     frequency = places.groupBy(*on, "s").agg(F.count("*").alias("f"))
-    found = s.select(small_key, *on, "n_small", F.explode("x").alias("s")).join(frequency, [*on, "s"], "left")
-    ranked = found.groupBy(small_key, *on, "n_small").agg(F.array_sort(F.collect_list(F.struct(F.coalesce("f", F.lit(0)).alias("f"), "s"))).alias("rs"))
-    prefix = F.greatest(F.lit(1), F.col("n_small") - F.ceil(F.lit(at_least) * F.col("n_small") - 1e-9).cast("int") + 1)
-    heads = ranked.select(small_key, *on, F.explode(F.slice("rs", F.lit(1), prefix)).alias("r")).where("r.f > 0").select(small_key, *on, F.col("r.s").alias("s"))
+    found = s.select(small_key, *on, "n_small", F.explode("x").alias("s")).join(frequency, [*on, "s"])
+    ranked = found.groupBy(small_key, *on, "n_small").agg(F.array_sort(F.collect_list(F.struct("f", "s"))).alias("rs"))
+    prefix = F.greatest(F.lit(1), F.col("n_small") - F.ceil(F.lit(at_least) * F.col("n_small") - 1e-9).cast("int") + 1) - (F.col("n_small") - F.size("rs"))
+    heads = ranked.withColumn("p", prefix).where("p > 0").select(small_key, *on, F.explode(F.slice("rs", 1, F.col("p"))).alias("r")).select(small_key, *on, F.col("r.s").alias("s"))
     candidates = heads.join(places, [*on, "s"]).select(small_key, large_key).distinct()
     scored = candidates.join(s.select(small_key, "x", "n_small"), small_key).join(big.select(large_key, "y"), large_key)
     scored = scored.select(small_key, large_key, F.size(F.array_intersect("x", "y")).cast("bigint").alias("common"), F.col("n_small").cast("bigint").alias("n_small"), F.size("y").cast("bigint").alias("n_large"))
@@ -201,7 +219,7 @@ def minhash_candidates(df: DataFrame, key: str, text: str = "text", permutations
     Approximate; verify with :func:`similar_pairs`, of which this finds nearly all at high similarity.
     """
     rows = permutations // bands
-    sets = shingle_sets(df, key, text).groupBy("shingles").agg(F.min(key).alias(key))
+    sets = distinct_sets(df, key, text)
     bands_ = []
     for b in range(bands):
         mins = [F.array_min(F.transform("shingles", _permuted(seed, b * rows + r))) for r in range(rows)]

@@ -308,12 +308,12 @@ def contained_docs(spark, sf):
 
 @query()
 def merge_decisions(spark, sf):
-    return merge.staged_merge(corpus(spark, sf), _table(spark, sf, "work_registry"), floor=300)
+    return merge.merged(corpus(spark, sf), _table(spark, sf, "work_registry"), floor=300)
 
 
 @query()
 def merge_drop_counts(spark, sf):
-    done = merge.staged_merge(corpus(spark, sf), _table(spark, sf, "work_registry"), floor=300)
+    done = merge.merged(corpus(spark, sf), _table(spark, sf, "work_registry"), floor=300)
     return done.groupBy(F.coalesce("reason", F.lit("kept")).alias("reason")).agg(F.count("*").alias("n"))
 
 
@@ -321,7 +321,7 @@ def merge_drop_counts(spark, sf):
 def merge_reattributed(spark, sf):
     c, w = corpus(spark, sf), _table(spark, sf, "work_registry")
     named = w.where(F.exists("flags", lambda f: f == merge.NOT_BY_AUTHOR)).select("title", F.lit("same_work").alias("resolution"), F.col("author").alias("attribution"))
-    return merge.reattributed(c, merge.staged_merge(c, w, floor=300), named)
+    return merge.reattributed(c, merge.merged(c, w, floor=300), named)
 
 
 @query(f"""SELECT DISTINCT w.work_id FROM work_registry w WHERE list_contains(w.flags, '{merge.NOT_BY_AUTHOR}') AND w.work_id NOT IN (SELECT work_id FROM {LOOKUP} WHERE work_id IS NOT NULL)""")

@@ -102,21 +102,21 @@ def merge_works(spark):
     return spark.createDataFrame([("w1", "Domov", "Ivan", None, None, [], [], [], ""), ("w2", "Krivo", "Ivan", None, None, ["not_by_author"], [], [], "")], WORK)
 
 
-def test_staged_merge(spark):
+def test_merge(spark):
     docs = merge_docs(spark)
-    rows = {r["row_id"]: (r["reason"], r["root"]) for r in merge.staged_merge(docs, merge_works(spark)).collect()}
+    rows = {r["row_id"]: (r["reason"], r["root"]) for r in merge.merged(docs, merge_works(spark)).collect()}
     assert rows == {
         1: (None, None), 2: ("exact_dup", 1), 3: ("gate_not_slovene", None), 4: ("registry_identity", 1), 5: (None, None), 6: ("not_by_author", None), 7: (None, None), 8: ("near_dup", 7), 9: ("gate_empty", None),
     }
     shuffled = docs.orderBy(F.rand(1)).repartition(7)
-    assert {r["row_id"]: (r["reason"], r["root"]) for r in merge.staged_merge(shuffled, merge_works(spark)).collect()} == rows
-    other = spark.createDataFrame([("Pismo", "same_work", "Josip Murn")], "title string, resolution string, attribution string")
-    fixed = merge.reattributed(docs, merge.staged_merge(docs, merge_works(spark)), other).collect()
-    assert [(r["row_id"], r["dropped"], r["attribution"]) for r in fixed] == [(7, 8, "Josip Murn")]
+    assert {r["row_id"]: (r["reason"], r["root"]) for r in merge.merged(shuffled, merge_works(spark)).collect()} == rows
+    other = spark.createDataFrame([("Pismo 2", "same_work", "Josip Murn"), ("Tujec", "same_work", "X")], "title string, resolution string, attribution string")
+    fixed = merge.reattributed(docs, merge.merged(docs, merge_works(spark)), other).collect()
+    assert [tuple(r) for r in fixed] == [(7, "Murn", "Josip Murn", 1)]
 
 
 def test_merge_of_nothing(spark):
-    assert merge.staged_merge(merge_docs(spark).limit(0), merge_works(spark).limit(0)).count() == 0
+    assert merge.merged(merge_docs(spark).limit(0), merge_works(spark).limit(0)).count() == 0
 
 
 def test_registry(spark):
