@@ -78,15 +78,16 @@ def skip_reason(title: Column, text: Column, namespace: Column, redirect: Column
     )
 
 
-def crawl_skip_reason(title: Column, text: Column, others: Column, least: int = P.MIN_CHARS) -> Column:
-    """Why a crawled page isn't a work, null if it is (F2); ``others`` is the array of other authors' names."""
+def crawl_skip_reason(text: Column, other_author: Column, least: int = P.MIN_CHARS) -> Column:
+    """Why a crawled page isn't a work, null if it is (F2); ``other_author`` says whether its title names another author."""
     plain = clean_wikitext(text)
-    return (
-        F.when(text.rlike(REDIRECT), "redirect")
-        .when(F.array_contains(others, T.attributed_to(title)), "other_author")
-        .when(F.length(plain) < least, "stub")
-        .when(T.index_like(plain), "index_list")
-    )
+    return F.when(text.rlike(REDIRECT), "redirect").when(other_author, "other_author").when(F.length(plain) < least, "stub").when(T.index_like(plain), "index_list")
+
+
+def listed(pages: DataFrame, authors: DataFrame) -> DataFrame:
+    """Distinct ``title`` of the pages to crawl: without authors' own and index pages and lists of titles."""
+    own = authors.select(F.explode(F.array("name", "index_page")).alias("title")).where("title is not null").distinct()
+    return pages.where(F.col("title").isNotNull() & ~F.col("title").rlike(INDEX_TITLE)).select("title").distinct().join(own, "title", "left_anti")
 
 
 def scan_lines(text: Column) -> Column:

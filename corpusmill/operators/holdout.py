@@ -11,6 +11,8 @@ from ..functions import text as T
 from ..plans import params as P
 from . import similarity as S
 from .common import checkpointed
+from .merge import misattributed
+from .works import find_works
 
 
 def candidates(docs: DataFrame, source: str = "wikivir", chars: tuple[int, int] = P.HOLDOUT_CHARS, text: str = "text") -> DataFrame:
@@ -65,6 +67,31 @@ def verified(docs: DataFrame, works: DataFrame) -> DataFrame:
     return joined.groupBy("item_id").agg(F.count("h").alias("n_rows"), F.count_if(F.col("h") == F.col("content_sha256")).alias("n_same"))
 
 
+def require_verified(docs: DataFrame, works: DataFrame) -> None:
+    """Fail if a held-out work has no row at its url any more, or none of them has the frozen text."""
+    bad = verified(docs, works).where("n_same = 0")
+    if not bad.isEmpty():
+        raise ValueError(f"{bad.count()} held-out works are missing or changed, first {[r['item_id'] for r in bad.orderBy('item_id').limit(5).collect()]}")
+
+
+def author_slice(docs: DataFrame, works: DataFrame, author: str, key: str, strict: bool = True) -> DataFrame:
+    """Documents of ``author`` without those of works that aren't by them; with ``strict`` any of these is an error (F8)."""
+    mine = docs.where(F.col("author") == author)
+    bad = find_works(mine, works, key).join(misattributed(works), "work_id", "left_semi").select(key)
+    if strict and not bad.isEmpty():
+        raise ValueError(f"works that aren't by {author} stand in the slice")
+    return mine.join(bad, key, "left_anti")
+
+
+def totals(works: DataFrame, slice_: DataFrame, size: str) -> DataFrame:
+    """One row: works held out, their size, documents of the slice, its size, the share held out in millionths."""
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("bigint")
+    held = works.agg(F.count("*").alias("n_works"), total(size).alias("held"))
+    # Two single rows.
+    both = held.withColumn("_k", F.lit(0)).join(slice_.agg(F.count("*").alias("n_slice"), total(size).alias("slice")).withColumn("_k", F.lit(0)), "_k").drop("_k")
+    return both.withColumn("millionths", F.floor(F.col("held") / F.nullif("slice", F.lit(0)) * 1e6).cast("bigint"))
+
+
 def windows(ids: str | Column, length: int, start: int, ignore: int = -1) -> Column:
     """Array of structs ``x``, ``y`` of ``length`` ids each: non-overlapping windows behind a start id.
 

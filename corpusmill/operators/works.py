@@ -79,6 +79,13 @@ def coverage(works: DataFrame) -> DataFrame:
     return works.select("work_id", F.coalesce(F.size("sources"), F.lit(0)).alias("n_sources"), F.size(ingested).alias("n_ingested"), F.array_join(F.array_sort(F.array_distinct(F.transform(ingested, lambda s: s["source"]))), "+").alias("ingested_from"))
 
 
+def coverage_histogram(works: DataFrame) -> DataFrame:
+    """``status``, ``n``: works ingested, known from some source only, and missing (A10)."""
+    c = coverage(works)
+    status = F.when(F.col("n_ingested") > 0, "ingested").when(F.col("n_sources") > 0, "known").otherwise("missing")
+    return c.groupBy(status.alias("status")).agg(F.count("*").alias("n"))
+
+
 def by_author(creators: Column, people: Column, title: Column, query: str) -> Column:
     """Layered authorship (R8): creators decide; else people, unless the title names another author or is a memorial."""
     wanted = query.lower()

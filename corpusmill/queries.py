@@ -299,29 +299,93 @@ CONTAIN = f"""e AS MATERIALIZED (SELECT row_id, len(s) AS n, unnest(s) AS g FROM
 
 @query(f"""WITH {CONTAIN}, m AS (SELECT e.*, d.author, d.title FROM e JOIN corpus_doc d USING (row_id)),
 q AS (SELECT x.row_id, y.row_id AS container, x.n AS n_small, count(*) AS common FROM m x JOIN m y ON x.g = y.g AND coalesce(x.author, '?') = coalesce(y.author, '?')
-  WHERE x.n < 300 AND y.n >= 300 AND x.title IS DISTINCT FROM y.title GROUP BY ALL HAVING count(*) > 0.8 * x.n),
+  WHERE x.n < 3000 AND y.n >= 3000 AND x.title IS DISTINCT FROM y.title GROUP BY ALL HAVING count(*) > 0.8 * x.n),
 b AS (SELECT *, row_number() OVER (PARTITION BY row_id ORDER BY common DESC, container) AS k FROM q)
 SELECT row_id, container, CAST(common AS BIGINT) AS common, CAST(n_small AS BIGINT) AS n_small, CASE WHEN common > 0.95 * n_small THEN 'drop' ELSE 'partial' END AS verdict FROM b WHERE k = 1""")
 def contained_docs(spark, sf):
-    return similarity.contained(corpus(spark, sf), "row_id", "author", "title", floor=300)
+    return similarity.contained(corpus(spark, sf), "row_id", "author", "title")
 
 
-@query()
+def reprints(spark, sf) -> DataFrame:
+    """The corpus and a reprint of every row with three words more, under another key and shard: rows that are near each other."""
+    c = corpus(spark, sf)
+    return c.unionByName(c.withColumns({"row_id": -1 - F.col("row_id"), "shard": F.lit("dlib-ponatis"), "text": F.concat("text", F.lit(" natis drugi popravljen"))}))
+
+
+REPRINTS = "SELECT row_id, shard, author, title, text, source FROM corpus_doc UNION ALL SELECT -1 - row_id, 'dlib-ponatis', author, title, text || ' natis drugi popravljen', source FROM corpus_doc"
+_ON_REPRINTS = lambda sql: f"rp AS MATERIALIZED ({REPRINTS}), " + sql.replace("corpus_doc", "rp")
+
+
+@query(f"WITH {_ON_REPRINTS(JACCARD)} SELECT a, b, CAST(common AS BIGINT) AS common, CAST(n_a AS BIGINT) AS n_a, CAST(n_b AS BIGINT) AS n_b FROM p")
+def reprint_pairs(spark, sf):
+    s = similarity.similar_pairs(reprints(spark, sf), "row_id")
+    return s.select("a", "b", *(F.col(c).cast("bigint").alias(c) for c in ("common", "n_a", "n_b")))
+
+
+@query(f"""WITH RECURSIVE {_ON_REPRINTS(JACCARD)}, {ROOTS.replace("corpus_doc", "rp")}, b2 AS (SELECT a AS x, b AS y FROM p UNION ALL SELECT b, a FROM p),
+c(x, y) AS (SELECT x, y FROM b2 UNION SELECT c.x, b2.y FROM c JOIN b2 ON c.y = b2.x),
+l AS (SELECT x AS root, least(x, min(y)) AS label FROM c GROUP BY x), k AS (SELECT x AS root, count(*) AS n FROM b2 GROUP BY x)
+SELECT r.row_id, coalesce(l.label, r.root) AS class_id, coalesce(k.n, 0) AS n_links FROM r LEFT JOIN l USING (root) LEFT JOIN k USING (root)""")
+def reprint_duplicates(spark, sf):
+    return similarity.near_duplicates(reprints(spark, sf), "row_id")
+
+
+#: Keep-first, node by node in the order of keys: a list of what is kept so far goes along.
+KEEP_FIRST = """o AS (SELECT node, row_number() OVER (ORDER BY node) AS k FROM (SELECT a AS node FROM p UNION SELECT b FROM p)),
+before AS MATERIALIZED (SELECT o.k, o.node, list(p.a) FILTER (WHERE p.a IS NOT NULL) AS earlier FROM o LEFT JOIN p ON p.b = o.node GROUP BY ALL),
+run(k, kept, near) AS (SELECT 0::BIGINT, []::BIGINT[], NULL::BIGINT UNION ALL
+  SELECT k, CASE WHEN near IS NULL THEN list_append(kept, node) ELSE kept END, near FROM (SELECT b.k, b.node, run.kept, list_min(list_intersect(coalesce(b.earlier, []), run.kept)) AS near FROM run JOIN before b ON b.k = run.k + 1))"""
+
+
+@query(f"""WITH RECURSIVE {_ON_REPRINTS(JACCARD)}, {ROOTS.replace("corpus_doc", "rp")}, {KEEP_FIRST}
+SELECT r.row_id, run.near IS NULL AND r.row_id = r.root AS kept, coalesce(run.near, r.root) AS root FROM r LEFT JOIN o ON o.node = r.root LEFT JOIN run ON run.k = o.k""")
+def reprint_keep_first(spark, sf):
+    return similarity.near_duplicate_roots(reprints(spark, sf), "row_id")
+
+
+def _merge_sql(rows: str) -> str:
+    """The merge of ``rows``, one document after the other: a list of what is kept goes along."""
+    on = lambda sql: sql.replace("corpus_doc", "src")
+    return f"""WITH RECURSIVE src AS MATERIALIZED ({rows}),
+d AS (SELECT s.row_id, s.shard, s.author, s.title, s.text, {TIER} AS tier, CASE WHEN shard <> 'wikipedia' THEN w.work_id END AS work,
+  CASE WHEN list_contains(r.flags, '{merge.NOT_BY_AUTHOR}') THEN 'not_by_author' WHEN s.shard <> 'wikipedia' AND v.verdict <> 'kept' THEN 'gate_' || v.verdict END AS refused
+  FROM src s LEFT JOIN {on(LOOKUP)} w USING (row_id) LEFT JOIN work_registry r ON r.work_id = w.work_id LEFT JOIN (SELECT row_id, {VERDICT} AS verdict FROM {on(GATE)}) v USING (row_id)),
+live AS MATERIALIZED (SELECT *, row_number() OVER (ORDER BY tier, shard, row_id) AS k FROM d WHERE refused IS NULL),
+e AS MATERIALIZED (SELECT live.k, live.work, len(s) AS n, unnest(s) AS g FROM live JOIN {on(SHINGLES)} USING (row_id)),
+m AS MATERIALIZED (SELECT x.k, y.k AS j, x.n, y.n AS m, count(*) AS common, x.work = y.work AS mates FROM e x JOIN e y USING (g) WHERE y.k < x.k GROUP BY ALL),
+near AS (SELECT k, list(j) AS js FROM m WHERE common >= 0.8 * (n + m - common) - 1e-9 GROUP BY k),
+ident AS (SELECT k, list(j) AS js FROM m WHERE mates AND common >= 0.5 * least(n, m) GROUP BY k),
+copies AS (SELECT x.k, list(y.k) AS js FROM live x JOIN live y ON x.text = y.text AND y.k < x.k GROUP BY x.k),
+mates AS (SELECT x.k, list(y.k) AS js FROM live x JOIN live y ON x.work = y.work AND y.k < x.k GROUP BY x.k),
+seq AS MATERIALIZED (SELECT live.k, coalesce(c.js, []) AS c, coalesce(w.js, []) AS w, coalesce(i.js, []) AS i, coalesce(n.js, []) AS n FROM live LEFT JOIN copies c USING (k) LEFT JOIN mates w USING (k) LEFT JOIN ident i USING (k) LEFT JOIN near n USING (k)),
+run(k, kept, reason, root) AS (SELECT 0::BIGINT, []::BIGINT[], NULL::VARCHAR, NULL::BIGINT UNION ALL
+  SELECT k, CASE WHEN c IS NULL AND w IS NULL AND n IS NULL THEN list_append(kept, k) ELSE kept END, CASE WHEN c IS NOT NULL THEN 'exact_dup' WHEN w IS NOT NULL THEN 'registry_identity' WHEN n IS NOT NULL THEN 'near_dup' END, coalesce(c, w, n)
+  FROM (SELECT seq.k, run.kept, list_min(list_intersect(seq.c, run.kept)) AS c, CASE WHEN list_contains(seq.i, list_max(list_intersect(seq.w, run.kept))) THEN list_max(list_intersect(seq.w, run.kept)) END AS w, list_min(list_intersect(seq.n, run.kept)) AS n FROM run JOIN seq ON seq.k = run.k + 1)),
+done AS (SELECT live.row_id, run.reason, r.row_id AS root FROM live JOIN run USING (k) LEFT JOIN live r ON r.k = run.root UNION ALL SELECT row_id, refused, NULL FROM d WHERE refused IS NOT NULL)"""
+
+
+@query(_merge_sql("SELECT row_id, shard, author, title, text FROM corpus_doc") + " SELECT row_id, reason, root FROM done")
 def merge_decisions(spark, sf):
-    return merge.merged(corpus(spark, sf), _table(spark, sf, "work_registry"), floor=300)
+    return merge.merged(corpus(spark, sf), _table(spark, sf, "work_registry")).select("row_id", "reason", "root")
 
 
-@query()
+@query(_merge_sql("SELECT row_id, shard, author, title, text FROM corpus_doc") + " SELECT coalesce(reason, 'kept') AS reason, count(*) AS n FROM done GROUP BY 1")
 def merge_drop_counts(spark, sf):
-    done = merge.merged(corpus(spark, sf), _table(spark, sf, "work_registry"), floor=300)
+    done = merge.merged(corpus(spark, sf), _table(spark, sf, "work_registry"))
     return done.groupBy(F.coalesce("reason", F.lit("kept")).alias("reason")).agg(F.count("*").alias("n"))
 
 
+@query(_merge_sql(f"SELECT * FROM ({REPRINTS})") + " SELECT row_id, reason, root FROM done")
+def merge_reprints(spark, sf):
+    return merge.merged(reprints(spark, sf), _table(spark, sf, "work_registry")).select("row_id", "reason", "root")
+
+
 @query()
 def merge_reattributed(spark, sf):
     c, w = corpus(spark, sf), _table(spark, sf, "work_registry")
-    named = w.where(F.exists("flags", lambda f: f == merge.NOT_BY_AUTHOR)).select("title", F.lit("same_work").alias("resolution"), F.col("author").alias("attribution"))
-    return merge.reattributed(c, merge.merged(c, w, floor=300), named)
+    # Titles of several authors: what was dropped under another author's name goes to the first of them.
+    named = works.title_collisions(w).select(F.col("norm").alias("title"), F.lit("same_work").alias("resolution"), F.split("authors", "; ")[0].alias("attribution"))
+    return merge.reattributed(c, merge.merged(c, w, named), named)
 
 
 @query(f"""SELECT DISTINCT w.work_id FROM work_registry w WHERE list_contains(w.flags, '{merge.NOT_BY_AUTHOR}') AND w.work_id NOT IN (SELECT work_id FROM {LOOKUP} WHERE work_id IS NOT NULL)""")
@@ -329,6 +393,26 @@ def merge_never_fired(spark, sf):
     return merge.never_fired(_table(spark, sf, "work_registry"), corpus(spark, sf))
 
 
+def volumes(spark, sf) -> DataFrame:
+    """Rows of the corpus and volumes put together of up to 300 of an author's rows each."""
+    c = corpus(spark, sf).select("row_id", "author", "title", "text")
+    parts = c.where("author is not null and text is not null").groupBy("author", F.floor(F.col("row_id") / 300).alias("v"))
+    joined = parts.agg(F.min("row_id").alias("first"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("row_id", "text"))), lambda x: x["text"]), "\n").alias("text"))
+    return c.unionByName(joined.select((-1 - F.col("first")).alias("row_id"), "author", F.lit("Zbrano delo").alias("title"), "text"))
+
+
+VOLUMES = "SELECT row_id, author, title, text FROM corpus_doc UNION ALL SELECT -1 - min(row_id), author, 'Zbrano delo', string_agg(text, chr(10) ORDER BY row_id) FROM corpus_doc WHERE author IS NOT NULL AND text IS NOT NULL GROUP BY author, CAST(floor(row_id / 300) AS BIGINT)"
+
+
+@query(f"""WITH vol AS MATERIALIZED ({VOLUMES}), {CONTAIN.replace("corpus_doc", "vol")}, m AS (SELECT e.*, d.author, d.title FROM e JOIN vol d USING (row_id)),
+q AS (SELECT x.row_id, y.row_id AS container, x.n AS n_small, count(*) AS common FROM m x JOIN m y ON x.g = y.g AND coalesce(x.author, '?') = coalesce(y.author, '?')
+  WHERE x.n < 3000 AND y.n >= 3000 AND x.title IS DISTINCT FROM y.title GROUP BY ALL HAVING count(*) > 0.8 * x.n),
+b AS (SELECT *, row_number() OVER (PARTITION BY row_id ORDER BY common DESC, container) AS k FROM q)
+SELECT row_id, container, CAST(common AS BIGINT) AS common, CAST(n_small AS BIGINT) AS n_small, CASE WHEN common > 0.95 * n_small THEN 'drop' ELSE 'partial' END AS verdict FROM b WHERE k = 1""")
+def contained_in_volumes(spark, sf):
+    return similarity.contained(volumes(spark, sf), "row_id", "author", "title")
+
+
 # Held-out sets.
 
 
@@ -367,6 +451,34 @@ def training_rows(spark, sf):
     return holdout.training_rows(corpus(spark, sf), _table(spark, sf, "holdout_work"), _table(spark, sf, "holdout_manifest")).select("row_id")
 
 
+@query(f"""WITH h AS (SELECT sum(len({WORDS})) AS held FROM holdout_work), t AS (SELECT sum(len({WORDS})) AS slice, count(*) AS n_slice FROM corpus_doc WHERE author = '{MAIN_AUTHOR}')
+SELECT (SELECT count(*) FROM holdout_work) AS n_works, CAST(held AS BIGINT) AS held, n_slice, CAST(slice AS BIGINT) AS slice, CAST(floor(held / slice * 1e6) AS BIGINT) AS millionths FROM h, t""")
+def holdout_totals(spark, sf):
+    return holdout.totals(_table(spark, sf, "holdout_work").withColumn("size", T.n_words("text")), corpus(spark, sf).where(F.col("author") == MAIN_AUTHOR).withColumn("size", T.n_words("text")), "size")
+
+
+@query(f"""SELECT c.row_id FROM corpus_doc c LEFT JOIN {LOOKUP} w USING (row_id) LEFT JOIN work_registry r ON r.work_id = w.work_id WHERE c.author = '{MAIN_AUTHOR}' AND NOT coalesce(list_contains(r.flags, '{merge.NOT_BY_AUTHOR}'), false)""")
+def author_slice(spark, sf):
+    return holdout.author_slice(corpus(spark, sf), _table(spark, sf, "work_registry"), MAIN_AUTHOR, "row_id", strict=False).select("row_id")
+
+
+@query("""SELECT DISTINCT title FROM corpus_doc WHERE title NOT IN (SELECT name FROM author_cfg) AND title NOT IN (SELECT index_page FROM author_cfg WHERE index_page IS NOT NULL) AND NOT regexp_matches(title, '^(Abecedni )?[Ss]eznam ')""")
+def listed_pages(spark, sf):
+    return cleaning.listed(corpus(spark, sf), _table(spark, sf, "author_cfg"))
+
+
+@query("""SELECT CASE WHEN i > 0 THEN 'ingested' WHEN n > 0 THEN 'known' ELSE 'missing' END AS status, count(*) AS n FROM (SELECT len(sources) AS n, len(list_filter(sources, lambda s: s.status = 'ingested')) AS i FROM work_registry) GROUP BY 1""")
+def coverage_histogram(spark, sf):
+    return works.coverage_histogram(_table(spark, sf, "work_registry"))
+
+
+@query("""SELECT work_id, array_to_string(list_sort(list_distinct(list_filter(list_concat(coalesce(aliases, []), [title || ' (ponatis)']), lambda x: x <> title))), '; ') AS aliases FROM work_registry""")
+def registry_aliases(spark, sf):
+    w = _table(spark, sf, "work_registry")
+    new = w.select("work_id", "title", "author", F.lit(None).cast("int").alias("year"), F.lit(None).cast("string").alias("genre"), F.array().cast("array<string>").alias("flags"), F.array("title", F.concat("title", F.lit(" (ponatis)"))).alias("aliases"), F.array().cast(w.schema["sources"].dataType).alias("sources"), "notes")
+    return works.upsert(w, new).select("work_id", F.array_join("aliases", "; ").alias("aliases"))
+
+
 @query("SELECT w.item_id, count(d.url) AS n_rows, count(*) FILTER (WHERE sha256(d.text) = w.content_sha256) AS n_same FROM holdout_work w LEFT JOIN corpus_doc d USING (url) GROUP BY w.item_id")
 def holdout_verified(spark, sf):
     return holdout.verified(corpus(spark, sf), _table(spark, sf, "holdout_work"))
@@ -391,9 +503,22 @@ def bpb_synthetic(spark, sf):
 # Cleaning.
 
 
-@query()
+_GOOD = f"regexp_replace({STRIP('x')}, " + _n(rf"[^\p{{L}}{SP}.,;:!?\-\"'()„“”«»*…]") + ", '', 'g')"
+SCAN_SQL = f"""WITH l AS (SELECT row_id, list_transform(string_split(regexp_replace(regexp_replace(replace(replace(nfc_normalize(coalesce(text, '')), chr(13) || chr(10), chr(10)), chr(65533), ''),
+    '([\\p{{L}}\\p{{N}}_])[-¬]\\n([\\p{{L}}\\p{{N}}_])', '\\1\\2', 'g'), {_n(rf'\\[{SP}]+')}, ' ', 'g'), chr(10)), lambda x: regexp_replace({STRIP('x')}, '[ \\t]+', ' ', 'g')) AS ls FROM corpus_doc),
+k AS (SELECT row_id, ls, list_filter(ls, lambda x, i: NOT (x <> '' AND (regexp_matches(x, '^[^\\p{{L}}\\p{{N}}]*[0-9]{{1,4}}[^\\p{{L}}\\p{{N}}]*$') OR regexp_matches(x, '^(?:Spisala?|Napisala?)(?:[^\\p{{L}}\\p{{N}}_].{{0,59}})?$')
+    OR regexp_matches(x, '^\\\\+$') OR i <= 10 AND regexp_matches(x, '^(?:Štev\\.|V Ljubljani,? dne|Leposloven)|(?:^|[^\\p{{L}}\\p{{N}}_])Leto [IVX]+\\.?$')
+    OR i <= 30 AND length(x) <= 2 AND NOT regexp_matches(x, '^[IVXLC]{{1,6}}\\.?$') OR CASE WHEN length(x) = 0 THEN 1 ELSE length({_GOOD}) / length(x) END < 0.85))) AS ks FROM l),
+c AS (SELECT row_id, len(ls) - len(ks) AS dropped, len(list_filter(ks, lambda x: x <> '')) AS kept, {STRIP("regexp_replace(array_to_string(ks, chr(10)), '\\n{3,}', chr(10) || chr(10), 'g')")} AS t FROM k),
+v AS (SELECT *, length(t) AS n_chars, length(regexp_replace(t, {_n(rf'[^\p{{L}}{SP}]')}, '', 'g')) AS n_letters, length(regexp_replace(substr(t, 1, 1000), '[^<>^=~|%&$#]', '', 'g')) AS early_noise FROM c)
+SELECT row_id, n_chars, n_letters, dropped AS dropped_lines, kept AS kept_lines, early_noise,
+  CASE WHEN early_noise > 10 THEN 'noisy_opening' WHEN n_letters / greatest(1, n_chars) < 0.84 THEN 'few_letters' WHEN n_chars < 400 THEN 'short' END AS refused FROM v"""
+
+
+@query(SCAN_SQL)
 def scan_clean(spark, sf):
-    return cleaning.scanned(corpus(spark, sf), "row_id").drop("text")
+    c = cleaning.scanned(corpus(spark, sf), "row_id").drop("text")
+    return c.select("row_id", *(F.col(x).cast("bigint").alias(x) for x in c.columns if x not in ("row_id", "refused")), "refused")
 
 
 @query()
@@ -408,22 +533,56 @@ def page_skip_counts(spark, sf):
     return c.groupBy(F.coalesce(reason, F.lit("kept")).alias("reason")).agg(F.count("*").alias("n"))
 
 
-@query()
-def crawl_skip_counts(spark, sf):
-    c = corpus(spark, sf).where(T.source_name("source") == "wikivir")
-    # The roster is a settings table; each row leaves out its own author.
-    names = [r["name"] for r in _table(spark, sf, "author_cfg").select("name").distinct().orderBy("name").collect()]
-    others = F.filter(F.array(*map(F.lit, names)), lambda n: ~n.eqNullSafe(F.col("author")))
-    reason = cleaning.crawl_skip_reason(F.coalesce("title", F.lit("")), F.coalesce("text", F.lit("")), others)
-    return c.groupBy(F.coalesce(reason, F.lit("kept")).alias("reason")).agg(F.count("*").alias("n"))
+def _wiki_sql(text: str) -> str:
+    """Plain text of wiki markup, step by step as the operator's documentation says."""
+    steps = [
+        (r"(?is)<ref[^>/]*(?:/>|>.*?</ref>)", ""), *[(r"\{\{[^{}]*\}\}", "")] * 4, (r"\[\[(?:[^\[\]|]*\|)*([^\[\]|]*)\]\]", r"\1"), (r"\[https?://[^\]\s]+ ([^\]]*)\]", r"\1"), (r"'{2,3}", ""), (r"(?i)</?[a-z][^<>]*>", ""),
+        (r"__[A-Z]+__", ""), (r"(?m)^=+[ \t]*([^=\n]+?)[ \t]*=+[ \t]*$", r"\1"), (r"(?m)^(?:Kategorija|Category):[^\n]*$", ""), (r"(?m)^\^[^\n]*$", ""), (r"[ \t]+\n", "\n"), (r"\n{3,}", "\n\n"),
+    ]
+    out = f"nfc_normalize({text})"
+    for pattern, to in steps:
+        out = f"regexp_replace({out}, {_n(pattern)}, {_n(to)}, 'g')"
+    return STRIP(out)
 
 
-@query("""WITH l AS (SELECT row_id, unnest(range(0, len(ls))) AS pos, unnest(ls) AS line FROM (SELECT row_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM corpus_doc)),
-h AS (SELECT *, nullif(regexp_extract(line, '^=+[ \\t]*([^=]+?)[ \\t]*=+[ \\t]*$', 1), '') AS h FROM l)
-SELECT row_id, count(*) AS n_headings, CAST(min(pos) AS INTEGER) AS first_at FROM h WHERE h IS NOT NULL GROUP BY row_id""")
-def catalog_headings(spark, sf):
-    lines = corpus(spark, sf).select("row_id", F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("pos", "line"))
-    return lines.where(F.regexp_extract("line", r"^=+[ \t]*([^=]+?)[ \t]*=+[ \t]*$", 1) != "").groupBy("row_id").agg(F.count("*").alias("n_headings"), F.min("pos").alias("first_at"))
+CRAWL_SQL = f"""WITH c AS (SELECT row_id, author, coalesce(title, '') AS title, coalesce(text, '') AS raw, {_wiki_sql("coalesce(text, '')")} AS text FROM corpus_doc WHERE {SOURCE} = 'wikivir'),
+n AS (SELECT *, nullif({STRIP("regexp_extract(title, '\\(([^)]+)\\)[ \\t\\n]*$', 1)")}, '') AS named, {LINES} AS l FROM c),
+j AS (SELECT *, list_filter(l, lambda x: length(x) < 60 AND NOT regexp_matches(x, '[.!?«“"]$') AND NOT regexp_matches(x, '[,;:!?.]')) AS t, list_filter(l, lambda x: regexp_matches(x, '\\p{{Nd}}')) AS d FROM n)
+SELECT CASE WHEN regexp_matches(raw, '(?i)^\\s*#(redirect|preusmeritev)') THEN 'redirect'
+  WHEN named IN (SELECT name FROM author_cfg) AND named IS DISTINCT FROM author THEN 'other_author' WHEN length(text) < 400 THEN 'stub'
+  WHEN len(l) >= 10 AND (len(t) / len(l) > 0.65 OR (len(d) / len(l) > 0.10 AND len(t) / len(l) > 0.30)) THEN 'index_list' ELSE 'kept' END AS reason, count(*) AS n FROM j GROUP BY 1"""
+
+
+@query(CRAWL_SQL)
+def crawl_skip_counts(spark, sf):
+    c = corpus(spark, sf).where(T.source_name("source") == "wikivir")
+    # Each row leaves out its own author (J15); the roster is joined by the name a title closes with.
+    named = c.select("author", "text", F.coalesce("title", F.lit("")).alias("title")).withColumn("name", T.attributed_to("title"))
+    roster = _table(spark, sf, "author_cfg").select("name").distinct().withColumn("other", F.lit(True))
+    rows = named.join(roster, "name", "left").withColumn("other", F.coalesce(F.col("other") & ~F.col("name").eqNullSafe(F.col("author")), F.lit(False)))
+    reason = cleaning.crawl_skip_reason(F.coalesce("text", F.lit("")), F.col("other"))
+    return rows.groupBy(F.coalesce(reason, F.lit("kept")).alias("reason")).agg(F.count("*").alias("n"))
+
+
+_ENTRY = r"^\*+[ \t]*\[\[(?:[^\]|]*\|)?([^\]]+)\]\](.*)$"
+CATALOG_SQL = rf"""WITH src AS ({{rows}}), l AS (SELECT row_id, unnest(range(0, len(ls))) AS pos, unnest(ls) AS line FROM (SELECT row_id, string_split(text, chr(10)) AS ls FROM src)),
+h AS (SELECT *, nullif(regexp_extract(line, '^=+[ \t]*([^=]+?)[ \t]*=+[ \t]*$', 1), '') AS h FROM l),
+r AS (SELECT *, last_value(CASE WHEN h IS NULL THEN NULL WHEN lower(h) IN ('viri', 'glej tudi', 'zunanje povezave') THEN '' ELSE h END IGNORE NULLS) OVER (PARTITION BY row_id ORDER BY pos) AS s FROM h),
+t AS (SELECT *, regexp_extract(line, {_n(_ENTRY)}, 1) AS title, regexp_extract(line, {_n(_ENTRY)}, 2) AS tail FROM r)
+SELECT row_id, CAST(pos AS INTEGER) AS pos, trim(title) AS title, TRY_CAST(nullif(regexp_extract(tail, '(1[5-9][0-9][0-9]|20[0-9][0-9])', 1), '') AS INTEGER) AS year, nullif(s, '') AS genre,
+  nullif(trim(regexp_extract(tail, 'gl\.[ \t]*\[\[(?:[^\]|]*\|)?([^\]]+)\]\]', 1)), '') AS alias_of, contains(tail, '(prevod)') OR ends_with(trim(title), '(prevod)') AS translation FROM t WHERE title <> ''"""
+_PAGES = "SELECT row_id, '== ' || coalesce(source, '?') || ' ==' || chr(10) || '* [[' || coalesce(title, '?') || ']], 18' || CAST(10 + row_id % 90 AS VARCHAR) || CASE WHEN row_id % 5 = 0 THEN ' (prevod)' ELSE '' END || chr(10) || '* [[Stran|' || coalesce(author, '?') || ']] gl. [[' || coalesce(title, '?') || ']]' || chr(10) || coalesce(text, '') AS text FROM corpus_doc"
+
+
+@query(CATALOG_SQL.format(rows=_PAGES))
+def catalog_entries(spark, sf):
+    """A catalog page of each row: a section of its source with its title, its author as an alias, and its text."""
+    part = lambda c: F.coalesce(c, F.lit("?"))
+    page = F.concat(
+        F.lit("== "), part("source"), F.lit(" ==\n* [["), part("title"), F.lit("]], 18"), (10 + F.col("row_id") % 90).cast("string"), F.when(F.col("row_id") % 5 == 0, " (prevod)").otherwise(""),
+        F.lit("\n* [[Stran|"), part("author"), F.lit("]] gl. [["), part("title"), F.lit("]]\n"), F.coalesce("text", F.lit("")),
+    )
+    return works.catalog_entries(corpus(spark, sf).select("row_id", page.alias("text")), "row_id")
 
 
 @query("SELECT DISTINCT urn FROM (SELECT unnest(regexp_extract_all(url, '(URN:[A-Z]+(?::[A-Z]+)*-[0-9A-Z]+)', 1)) AS urn FROM corpus_doc) WHERE contains(urn, ':DOC-')")
@@ -448,20 +607,20 @@ def pretoken_counts(spark, sf):
 
 @query()
 def chunk_ladder(spark, sf):
-    return chunks.chunked(corpus(spark, sf), "row_id", budget=256).drop("text")
+    return chunks.chunked(corpus(spark, sf), "row_id").drop("text")
 
 
 @query()
 def chunk_ladder_use(spark, sf):
     c = corpus(spark, sf)
-    return chunks.ladder_use(chunks.chunked(c, "row_id", budget=256), c, "row_id", "source")
+    return chunks.ladder_use(chunks.chunked(c, "row_id"), c, "row_id", "source")
 
 
 @query()
 def chunk_lengths(spark, sf):
     """Distribution of chunk sizes."""
-    c = chunks.chunked(corpus(spark, sf), "row_id", budget=256).select(F.lit("all").alias("g"), "n_tokens")
-    counts = c.groupBy("g").agg(F.count("*").alias("n_chunks"), F.sum("n_tokens").alias("n_tokens"), F.max("n_tokens").alias("most"), F.count_if(F.col("n_tokens") == 256).alias("at_budget"), F.count_if(F.col("n_tokens") < 64).alias("under_64"))
+    c = chunks.chunked(corpus(spark, sf), "row_id").select(F.lit("all").alias("g"), "n_tokens")
+    counts = c.groupBy("g").agg(F.count("*").alias("n_chunks"), F.sum("n_tokens").alias("n_tokens"), F.max("n_tokens").alias("most"), F.count_if(F.col("n_tokens") == P.TOKEN_BUDGET).alias("at_budget"), F.count_if(F.col("n_tokens") < 64).alias("under_64"))
     return counts.join(documents.exact_percentile(c, "g", "n_tokens", 0.5, "p50"), "g").join(documents.exact_percentile(c, "g", "n_tokens", 0.95, "p95"), "g").drop("g")
 
 
@@ -471,7 +630,10 @@ def bestfit_crop(spark, sf):
     return chunks.simulated_crop(chunks.measured(_table(spark, sf, "chunk_doc"), *order), order)
 
 
-@query()
+@query(f"""WITH RECURSIVE l AS MATERIALIZED (SELECT row_id, i, len(regexp_extract_all(x, {_n(f'[^{SP}]+')})) AS n FROM (SELECT row_id, unnest(range(0, len(ls))) AS i, unnest(ls) AS x FROM (SELECT row_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM corpus_doc))),
+w(row_id, i, chunk, total, n) AS (SELECT row_id, 0::BIGINT, 0, CAST(n AS BIGINT), CAST(n AS BIGINT) FROM l WHERE i = 0 UNION ALL
+  SELECT w.row_id, l.i, CASE WHEN w.total + l.n > 200 THEN w.chunk + 1 ELSE w.chunk END, CASE WHEN w.total + l.n > 200 THEN l.n ELSE w.total + l.n END, CAST(l.n AS BIGINT) FROM w JOIN l ON l.row_id = w.row_id AND l.i = w.i + 1)
+SELECT row_id, chunk, count(*) AS n_lines, CAST(sum(n) AS BIGINT) AS n_words FROM w GROUP BY row_id, chunk""")
 def word_budget_chunks(spark, sf):
     return chunks.word_chunks(corpus(spark, sf), "row_id")
 
