@@ -57,9 +57,9 @@ def one_by_one(docs, works, distinct):
     for key, g, author, title, literary in kept:
         if literary and len(g) < FLOOR:
             best = (0, 0, None)
-            for k, h, a, t, lit in kept:
+            for place, (k, h, a, t, lit) in enumerate(kept):
                 if lit and a == author and t != title and len(h) >= FLOOR and len(g & h) > 0.8 * len(g):
-                    best = min(best, (-len(g & h), k, k))
+                    best = min(best, (-len(g & h), place, k))
             if best[2] is not None and -best[0] > 0.95 * len(g):
                 out[key] = ("containment", best[2], out[key][2])
     return out
