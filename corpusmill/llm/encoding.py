@@ -13,6 +13,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pandas as pd
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -349,12 +350,22 @@ def restored(df: DataFrame, key: str = "row_id", text: str = "text", source: str
     # Written once: both the units and their totals are taken from it.
     counted = checkpointed(_contexts(df, text, source))
     every = counted.groupBy("source", "unit").agg(F.sum("n").alias("_u"))
-    rows = [tuple(r) for r in counted.join(_frequent(every), ["source", "unit"]).select("source", "unit", "left", "right", "n").collect()]
-    tables = df.sparkSession.sparkContext.broadcast(learn(rows))
+    kept = counted.join(_frequent(every), ["source", "unit"]).select("source", "unit", "left", "right", "n")
+    # Undamaged text has few letters beyond ASCII and their neighbours; each source is learned where its rows are.
+    usual = [tuple(r) for r in kept.where("source = ''").collect()]
+
+    def learned(rows: pd.DataFrame) -> pd.DataFrame:
+        table = learn(usual + list(rows.itertuples(index=False, name=None)))
+        return pd.DataFrame([(s, u, t) for s, units in table.items() for u, t in units.items()], columns=["source", "unit", "target"])
+
+    found: dict[str, dict[str, str]] = {}
+    for r in kept.where("source <> ''").groupBy("source").applyInPandas(learned, "source string, unit string, target string").toLocalIterator():
+        found.setdefault(r["source"], {})[r["unit"]] = r["target"]
+    tables = df.sparkSession.sparkContext.broadcast(found)
     foreign = checkpointed(_foreign(df, text, source))
     docs = foreign.where("word = ''").select("source", F.col("df").alias("_docs"))
-    kept = foreign.join(docs, "source").where((F.col("word") == "") | (F.col("df") >= SHARE * F.col("_docs"))).select("source", "word", "df")
-    others = df.sparkSession.sparkContext.broadcast(elsewhere([tuple(r) for r in kept.collect()]))
+    shared = foreign.join(docs, "source").where((F.col("word") == "") | (F.col("df") >= SHARE * F.col("_docs"))).select("source", "word", "df")
+    others = df.sparkSession.sparkContext.broadcast(elsewhere([tuple(r) for r in shared.collect()]))
 
     def make():
         restore = restorer(tables.value, vocabulary.value, others.value)

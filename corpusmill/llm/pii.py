@@ -24,6 +24,8 @@ KINDS = ("email", "phone", "id_number", "address", "name")
 PLACEHOLDERS = {"email": "[EMAIL]", "phone": "[PHONE]", "id_number": "[ID]", "address": "[ADDRESS]", "name": "[NAME]"}
 #: Labelled sentences the trees are fitted on (the bound of the training sample), and those thresholds are calibrated on.
 TRAINING, CALIBRATION = 9000, 2500
+#: Share of the labelled cases that no word announces.
+UNANNOUNCED = 0.2
 
 _UP, _LOW = "A-ZČŠŽĆĐ", "a-zčšžćđ"
 _NAME = rf"[{_UP}][{_LOW}]+"
@@ -253,6 +255,7 @@ class _Maker:
             lambda: f"Stran {d(3)}\n\n{self.plain(4).capitalize()}.", lambda: f"je dodal * ob verzu {d(2)}. {self.plain(2).capitalize()} {self.plain(3)}.", lambda: f"{self.plain(3).capitalize()}, {self.proper(0.02, 0.3)} {self.plain(2)}; {self.proper(0.02, 0.3)} je {self.plain(2)}.", lambda: f"{d(2)}     {self.word((0.01, 0.3)).upper()}\n{self.plain(3).capitalize()}",
             lambda: f"Izposoja št. {d(6)} z dne 1. {r.randint(1, 12)}.", lambda: f"URN:NBN:SI:DOC-{d(8)}", lambda: f"Cena je bila {d(2)} goldinarja, po § {d(2)} pa polovico.", lambda: f"{self.proper(0.02, 0.3).upper()}: {self.plain(3).capitalize()} {self.plain(2)}.",
             lambda: f"V obrazcu stoji x + y = {d(2)} (gl. tab. {d(1)}b). {self.plain(3).capitalize()}.", lambda: f"Bil je {r.randint(1, 28)}. maj, ura 10:{d(2)}, in vlak je imel {d(1)}–10 minut zamude.", lambda: f"{self.place()} {self.plain(2)} {d(2)} let.",
+            lambda: f"{self.plain(2).capitalize()} {r.randint(1, 31)}. {r.randint(1, 12)}. 1{r.choice('5678999')}{d(2)} {self.plain(2)}.", lambda: f"{self.plain(2).capitalize()}, {r.randint(1, 31)}. {r.randint(1, 12)}. 1{r.choice('5678999')}{d(2)}\n\n{self.plain(3).capitalize()}",
         ])()
 
     def sentence(self) -> tuple[str, str | None, int, int]:
@@ -279,6 +282,9 @@ class _Maker:
                 value = "".join(self.r.choice("ABCPXZIQ") for _ in range(2)) + self.digits(7)
         else:
             lead, value = self.r.choice(self.LEADS[kind]), getattr(self, kind)()
+        # And many cases stand in prose without any announcement; a bare number of a register is then none.
+        if (kind != "id_number" or len(re.sub(r"\D", "", value)) == 13) and self.r.random() < UNANNOUNCED:
+            lead = self.plain(self.r.randint(1, 4)).capitalize() + self.r.choice([" ", " ", ", ", ": "]) + "{}" + self.r.choice(["", ",", ".", " " + self.plain(2)])
         a, b = lead.split("{}")
         text = left + a
         return text + value + b + right, kind, len(text), len(text) + len(value)

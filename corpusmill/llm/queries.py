@@ -18,6 +18,12 @@ def p1_token_budget(spark: SparkSession, sf: str) -> DataFrame:
     return tokens.token_budget(table(spark, sf, "corpus_doc"), "corpus_doc", authors).unionByName(tokens.token_budget(table(spark, sf, "documents"), "documents", authors))
 
 
+def p1_document_tokens(spark: SparkSession, sf: str) -> DataFrame:
+    """The exact count of every document of both tables."""
+    counted = lambda name, key: tokens.token_counts(table(spark, sf, name), "text", None, key).select(F.lit(name).alias("corpus"), F.col(key).alias("id"), "n_tokens")
+    return counted("corpus_doc", "row_id").unionByName(counted("documents", "doc_id"))
+
+
 def p2_found(spark: SparkSession, sf: str) -> DataFrame:
     return leaks.leaks(table(spark, sf, "corpus_doc"), table(spark, sf, "holdout_work"), table(spark, sf, "holdout_manifest"))
 
@@ -91,7 +97,7 @@ def p10_redacted(spark: SparkSession, sf: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     own = [
-        p1_token_budget, p2_found, p2_items, p3_found, p3_repaired, p4_found, p4_clean, p5_found, p5_restored, p6_found, p6_one_form,
+        p1_token_budget, p1_document_tokens, p2_found, p2_items, p3_found, p3_repaired, p4_found, p4_clean, p5_found, p5_restored, p6_found, p6_one_form,
         p7_found, p7_pieces, p8_ids, p9_mix_selection, p9_mix_shares, p10_found, p10_redacted,
     ]
     return {f.__name__: f for f in own}

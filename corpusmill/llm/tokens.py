@@ -14,7 +14,7 @@ import re
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .base import canonical_author, canonical_lang, canonical_source, host, map_batches
+from .base import canonical_author, canonical_lang, canonical_source, checkpointed, host, map_batches
 
 #: Directory of the public vocabulary files and the file used unless told otherwise.
 TOKENIZERS = os.environ.get("PUBLIC_TOKENIZERS", "/opt/tokenizers")
@@ -60,6 +60,18 @@ def encoder(path: str | None = None):
     return ids
 
 
+def batch_counter(path: str | None = None):
+    """Function from a list of texts to their numbers of tokens; the short ones go to the encoder in one call."""
+    many, one = encoding(path).encode_ordinary_batch, counter(path)
+
+    def count(texts: list[str | None]) -> list[int]:
+        short = [i for i, t in enumerate(texts) if t and len(t) <= LONG]
+        sizes = dict(zip(short, map(len, many([texts[i] for i in short], num_threads=1))))
+        return [sizes[i] if i in sizes else one(t) for i, t in enumerate(texts)]
+
+    return count
+
+
 def counter(path: str | None = None):
     """Function from a text to its number of tokens; null and empty texts have none."""
     encode = encoder(path)
@@ -90,8 +102,8 @@ def token_counts(df: DataFrame, text: str = "text", path: str | None = None, *ke
     """``keep`` columns and ``n_tokens`` of every row; the text itself is dropped."""
 
     def make():
-        count = counter(path)
-        return lambda *columns: {**dict(zip(keep, columns)), "n_tokens": [count(t) for t in columns[-1]]}
+        count = batch_counter(path)
+        return lambda *columns: {**dict(zip(keep, columns)), "n_tokens": count(columns[-1])}
 
     schema = ", ".join([*(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in keep), "n_tokens bigint"])
     return map_batches(df.select(*keep, text), schema, make)
@@ -105,30 +117,14 @@ def token_budget(df: DataFrame, name: str, authors: DataFrame | None = None, pat
     ``n_docs``, ``n_tokens``. Spellings of source and language are unified first. Null and empty texts
     count as documents without tokens. An empty table has no rows.
 
-    Tokens are first summed per distinct combination, map side; only those sums are cubed.
+    The exact count of every document is stored once, without its text. Counts are then summed per distinct
+    combination, map side; only those sums are cubed.
     """
-    named = df.select(
-        canonical_source().alias("source"), canonical_lang().alias("lang"), host().alias("host"), F.nullif(F.trim("author"), F.lit("")).alias("author"), "text"
-    )
-    # Rows of a batch are summed in Python already, so a hot slice leaves each task as a few rows.
-    def make():
-        count = counter(path)
-
-        def step(*columns):
-            sums: dict[tuple, list[int]] = {}
-            for *slice_, text in zip(*columns):
-                total = sums.setdefault(tuple(slice_), [0, 0])
-                total[0] += 1
-                total[1] += count(text)
-            keys = list(zip(*sums)) or [[]] * 4
-            return {**dict(zip(("source", "lang", "host", "author"), map(list, keys))), "n_docs": [v[0] for v in sums.values()], "n_tokens": [v[1] for v in sums.values()]}
-
-        return step
-
-    sums = map_batches(named, "source string, lang string, host string, author string, n_docs bigint, n_tokens bigint", make)
-    sums = canonical_author(sums, authors)
-    by = sums.groupBy("source", "lang", "host", "author").agg(F.sum("n_docs").alias("n_docs"), F.sum("n_tokens").alias("n_tokens"))
     dims = ("source", "lang", "host", "author")
+    named = df.select(canonical_source().alias("source"), canonical_lang().alias("lang"), host().alias("host"), F.nullif(F.trim("author"), F.lit("")).alias("author"), "text")
+    counts = checkpointed(token_counts(named, "text", path, *dims))
+    sums = canonical_author(counts.groupBy(*dims).agg(F.count("*").alias("n_docs"), F.sum("n_tokens").alias("n_tokens")), authors)
+    by = sums.groupBy("source", "lang", "host", "author").agg(F.sum("n_docs").alias("n_docs"), F.sum("n_tokens").alias("n_tokens"))
     sets = [[d for i, d in enumerate(dims[:3]) if mask >> i & 1] for mask in range(8)] + [["author"]]
     grouped = by.groupingSets([[F.col(c) for c in s] for s in sets], *(F.col(c) for c in dims)).agg(
         F.grouping_id(*dims).alias("_set"), F.sum("n_docs").alias("n_docs"), F.sum("n_tokens").alias("n_tokens")
