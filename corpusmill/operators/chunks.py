@@ -183,12 +183,19 @@ def measured(df: DataFrame, *keep: str, text: str = "text", path: str = RANKS) -
     return df.select(*keep, text).mapInArrow(run, f"{kinds}, n_tokens bigint")
 
 
-def simulated_crop(chunks: DataFrame, order: list[str], size: str = "n_tokens", budget: int = P.TOKEN_BUDGET, buffer: int = P.PACK_BUFFER, streams: int = 64) -> DataFrame:
+#: Chunks a loader packs at most on average; a larger table has more loaders.
+STREAM_CHUNKS = 200_000
+
+
+def simulated_crop(chunks: DataFrame, order: list[str], size: str = "n_tokens", budget: int = P.TOKEN_BUDGET, buffer: int = P.PACK_BUFFER, streams: int | None = None) -> DataFrame:
     """``stream``, ``cropped``, ``total``: the packing of each of ``streams`` loaders.
 
     A loader reads every chunk whose hash of ``order`` falls to it, in that order; one stream is the
-    single loader. Packing is sequential within a stream, so a stream is one task.
+    single loader. Packing is sequential within a stream, so a stream is one task; by default there are 64
+    or as many as keep a stream at ``STREAM_CHUNKS``.
     """
+    if streams is None:
+        streams = max(64, -(-chunks.count() // STREAM_CHUNKS))
     rows = chunks.select(*order, F.col(size).cast("bigint").alias("n")).withColumn("stream", F.pmod(F.xxhash64(*order), F.lit(streams)).cast("int") if streams > 1 else F.lit(0))
 
     def pack(key, rows):
@@ -198,8 +205,13 @@ def simulated_crop(chunks: DataFrame, order: list[str], size: str = "n_tokens",
     return rows.groupBy("stream").applyInPandas(pack, "stream int, cropped bigint, total bigint")
 
 
-def vocabulary(spark, path: str = RANKS) -> DataFrame:
-    """``id``, ``n_bytes``, ``is_digits`` of each token."""
+def vocabulary(spark, path: str = RANKS, special: tuple[str, ...] = P.SPECIAL_TOKENS) -> DataFrame:
+    """``id``, ``n_bytes``, ``is_digits``, ``special`` of each token.
+
+    Special tokens stand at the top of the vocabulary, behind the ranks, and have 0 bytes of text.
+    """
     with open(path, "rb") as f:
         rows = [(int(r), base64.b64decode(t)) for t, r in map(bytes.split, f)]
-    return spark.createDataFrame([(i, len(b), b.isdigit() and b.isascii()) for i, b in rows], "id int, n_bytes int, is_digits boolean")
+    top = max(r for r, _ in rows) + 1
+    table = [(i, len(b), b.isdigit() and b.isascii(), None) for i, b in rows] + [(top + i, 0, False, name) for i, name in enumerate(special)]
+    return spark.createDataFrame(table, "id int, n_bytes int, is_digits boolean, special string")

@@ -7,17 +7,14 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..plans import params as P
-from .common import spread
-
-
-def percentile(values: str, q: float):
-    """The value at index floor(q (n - 1)) of the sorted group, as the reports define percentiles (A3); null if empty."""
-    ordered = F.array_sort(F.collect_list(values))
-    return F.when(F.size(ordered) > 0, F.element_at(ordered, F.floor(F.lit(float(q)) * (F.size(ordered) - 1)).cast("int") + 1))
+from .common import checkpointed, spread
 
 
 def exact_percentile(df: DataFrame, by: str, value: str, q: float, name: str) -> DataFrame:
-    """The same for groups of any size: values are counted first, so a group is its distinct values only."""
+    """``by``, ``name``: the value at index floor(q (n - 1)) of the sorted group, as the reports define percentiles (A3).
+
+    Values are counted first, so what is gathered of a group is its distinct values only.
+    """
     counts = df.where(F.col(value).isNotNull()).groupBy(by, value).agg(F.count("*").alias("_c"))
     # One row per group; the cumulated counts are walked in an array of (value, count), bounded by distinct values.
     lists = counts.groupBy(by).agg(F.array_sort(F.collect_list(F.struct(F.col(value).alias("v"), F.col("_c").alias("c")))).alias("_l"), F.sum("_c").alias("_n"))
@@ -36,7 +33,8 @@ def measured(df: DataFrame, text: str = "text") -> DataFrame:
 def shard_metrics(df: DataFrame, by: str = "shard", text: str = "text") -> DataFrame:
     """Documents, words, characters, word-count distribution, repeated documents and characters unknown (A1)."""
     m = measured(spread(df.select(by, text)), text).withColumn("unknown", T.unknown_chars(F.coalesce(F.col(text), F.lit("")))).select(by, "n_words", "n_text_chars", "hash", "unknown")
-    m = m.persist()
+    # Read three times; slim rows, written once.
+    m = checkpointed(m)
     base = m.groupBy(by).agg(
         F.count("*").alias("n_docs"), F.sum("n_words").alias("n_words"), F.sum("n_text_chars").alias("n_chars"), F.min("n_words").alias("words_min"), F.max("n_words").alias("words_max"),
         F.sum("unknown").alias("unknown_chars"), (F.count("*") - F.count_distinct("hash")).alias("n_repeated"),

@@ -26,6 +26,7 @@ ALLOWED = r"A-Za-zčšžćđČŠŽĆĐáàâäéèêëíìîïóòôöúùûüý
 APPARATUS_PATTERN = "viri|sklici|opombe|reference|zunanje povezave|glej tudi|literatura|nadaljnje branje|sorodne strani|opombe in sklici"
 #: Elements that only render something (fixed values).
 RENDERED = ("score", "hiero", "chem", "mapframe", "maplink", "syntaxhighlight", "source", "imagemap", "gallery", "timeline", "math", "templatestyles")
+#: Namespaces of media links, and names of special tokens (fixed values).
 MEDIA_NAMESPACES = ("slika", "datoteka", "file", "image", "berilo")
 SPECIAL_TOKENS = ("<|bos|>", "<|user_start|>", "<|user_end|>", "<|assistant_start|>", "<|assistant_end|>", "<|python_start|>", "<|python_end|>", "<|output_start|>", "<|output_end|>")
 #: Pre-token pattern with digits in pairs, for byte-pair encoders of that family (fixed value).
