@@ -404,11 +404,15 @@ def volumes(spark, sf) -> DataFrame:
 VOLUMES = "SELECT row_id, author, title, text FROM corpus_doc UNION ALL SELECT -1 - min(row_id), author, 'Zbrano delo', string_agg(text, chr(10) ORDER BY row_id) FROM corpus_doc WHERE author IS NOT NULL AND text IS NOT NULL GROUP BY author, CAST(floor(row_id / 300) AS BIGINT)"
 
 
-@query(f"""WITH vol AS MATERIALIZED ({VOLUMES}), {CONTAIN.replace("corpus_doc", "vol")}, m AS (SELECT e.*, d.author, d.title FROM e JOIN vol d USING (row_id)),
+#: States contained_in_volumes, but cuts long texts into shingles in quadratic time: for small tables only.
+CONTAINED_SQL = f"""WITH vol AS MATERIALIZED ({VOLUMES}), {CONTAIN.replace("corpus_doc", "vol")}, m AS (SELECT e.*, d.author, d.title FROM e JOIN vol d USING (row_id)),
 q AS (SELECT x.row_id, y.row_id AS container, x.n AS n_small, count(*) AS common FROM m x JOIN m y ON x.g = y.g AND coalesce(x.author, '?') = coalesce(y.author, '?')
   WHERE x.n < 3000 AND y.n >= 3000 AND x.title IS DISTINCT FROM y.title GROUP BY ALL HAVING count(*) > 0.8 * x.n),
 b AS (SELECT *, row_number() OVER (PARTITION BY row_id ORDER BY common DESC, container) AS k FROM q)
-SELECT row_id, container, CAST(common AS BIGINT) AS common, CAST(n_small AS BIGINT) AS n_small, CASE WHEN common > 0.95 * n_small THEN 'drop' ELSE 'partial' END AS verdict FROM b WHERE k = 1""")
+SELECT row_id, container, CAST(common AS BIGINT) AS common, CAST(n_small AS BIGINT) AS n_small, CASE WHEN common > 0.95 * n_small THEN 'drop' ELSE 'partial' END AS verdict FROM b WHERE k = 1"""
+
+
+@query()
 def contained_in_volumes(spark, sf):
     return similarity.contained(volumes(spark, sf), "row_id", "author", "title")
 

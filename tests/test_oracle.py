@@ -38,6 +38,11 @@ def test_query_equals_sql(spark, db, name):
     assert sorted(repr(plain([r[c] for c in sorted(columns)])) for r in df.collect()) == expected
 
 
+def test_contained_in_volumes_equals_sql(spark, db):
+    rows = db.execute(core.CONTAINED_SQL).fetchall()
+    assert rows and sorted(map(tuple, core.queries()["contained_in_volumes"](spark, SF).collect())) == sorted(rows)
+
+
 @pytest.mark.parametrize("name", sorted(set(core.queries()) - set(core.oracle_sql())))
 def test_query_runs(spark, name):
     assert core.queries()[name](spark, SF).count() >= 0
